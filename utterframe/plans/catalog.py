@@ -1,12 +1,15 @@
-"""All registered queries of the speech operators."""
+"""All registered queries of the speech operators and the flagship among them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from utterframe.plans import dataset, segments
+from utterframe.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "dataset", "flagship", "segments"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1)
+    """Whole videos from chunk words to single-speaker segments."""
+    return QUERIES["rechunk_by_speaker"](spark, sf_dir)

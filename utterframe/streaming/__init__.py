@@ -1,0 +1 @@
+"""Incremental processing on Structured Streaming."""
