@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from utterframe.session import ensure_importable
+
 #: Characters of text that one numpy block holds at most, unless a single text is longer.
 BLOCK_CHARS = 1_000_000
 
@@ -43,7 +45,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of a few MB, whatever the length of the texts."""
+    """Arrow batches of a few MB, whatever the length of the texts, for workers that can import this package."""
+    ensure_importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
