@@ -50,7 +50,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] =
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(63))).alias("mask")
     )
     found = dict(masks.collect())  # 2**LEXICON_BITS / 64 rows at most
-    return F.split(F.lit(",".join(str(found.get(i, 0)) for i in range((1 << LEXICON_BITS) // 64))), ",").cast("array<bigint>")
+    return constants([found.get(i, 0) for i in range((1 << LEXICON_BITS) // 64)], "bigint")
 
 
 def fingerprint(text: Column, bits: Column) -> Column:
@@ -84,43 +84,48 @@ def fingerprints(docs: DataFrame, text_col: str = "text", lexicon_of: DataFrame
     return docs.withColumn("fingerprint", fingerprint(F.coalesce(F.col(text_col), F.lit("")), bits))
 
 
-def with_next(docs: DataFrame, id_col: str, order: list[str], carried: list[str]) -> DataFrame:
-    """Adds ``next``, a struct of ``carried`` from the next row by (id, order); the last row's next is the first row.
+def constants(values: list, kind: str) -> Column:
+    """An array constant, made from one string."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def with_next(docs: DataFrame, id_col: str, order: list[str], carried: list[str], derive=lambda df: df) -> DataFrame:
+    """Adds ``next``, a struct of ``carried`` from the next row by (numeric id, order); the last row's is the first row.
 
     Rows are dealt to ranges of ids that hold about as many rows each. A range's last row finds its next in a copy of
-    the first row of the range that follows, so that no task sees all rows.
+    the first row of the range that follows, so that no task sees all rows. ``derive`` adds columns to rows once dealt.
     """
-    quantiles = F.percentile_approx(id_col, F.array(*[F.lit(i / RANGES) for i in range(RANGES)]), 4 * RANGES)
+    quantiles = F.percentile_approx(id_col, constants([i / RANGES for i in range(RANGES)], "double"), 4 * RANGES)
     row = docs.agg(quantiles.alias("q"), F.min(id_col).alias("least"), F.max(F.col(id_col).isNull()).alias("nulls")).first()
     bounds = sorted({*(row["q"] or []), *([] if row["least"] is None else [row["least"]])})  # RANGES + 1 ids at most
+    kind = docs.schema[id_col].dataType.simpleString()
     width = 32
-    fine, coarse = F.lit(bounds or [0]), F.lit(bounds[::width] or [0])
-    upto = lambda values, key: F.size(F.filter(values, lambda b: b <= key))
+    fine, coarse = constants(bounds or [0], kind), constants(bounds[::width] or [0], kind)
     key = F.col(id_col)
-    group = F.coalesce(upto(coarse, key) - 1, F.lit(0))
-    in_range = F.when(key.isNull(), 0).otherwise(group * width + upto(F.slice(fine, group * width + 1, F.lit(width)), key))
-    columns = list(dict.fromkeys([*docs.columns]))
-    dealt = docs.withColumn("__range", in_range.cast("int")).withColumn("__copy", F.lit(0))
+    upto = lambda values: F.size(F.filter(values, lambda b: b <= key))
+    group = F.greatest(upto(coarse) - 1, F.lit(0))
+    in_range = F.when(key.isNull(), 0).otherwise(bind(group, lambda g: g * width + upto(F.slice(fine, g * width + 1, F.lit(width)))))
+    dealt = docs.withColumn("__range", in_range.cast("int"))
     first_range, last_range = (0 if row["nulls"] else 1), len(bounds)
-    heads = docs.sparkSession.createDataFrame([(b, i + 1) for i, b in enumerate(bounds)] or [(0, 1)], f"__id {docs.schema[id_col].dataType.simpleString()}, __range int")
-    copies = dealt.drop("__range").join(F.broadcast(heads), key == F.col("__id")).drop("__id")
+    heads = docs.sparkSession.createDataFrame([(b, i + 1) for i, b in enumerate(bounds)], f"__id {kind}, __range int")
+    firsts = docs.join(F.broadcast(heads), key == F.col("__id")).drop("__id")
     if row["nulls"]:
-        copies = copies.unionByName(dealt.where(key.isNull()).drop("__copy").withColumn("__copy", F.lit(0)).select(copies.columns))
+        firsts = firsts.unionByName(docs.where(key.isNull()).withColumn("__range", F.lit(0)))
     pick = Window.partitionBy("__range").orderBy(*order)
-    copies = copies.withColumn("__n", F.row_number().over(pick)).where("__n = 1").drop("__n")
+    firsts = firsts.withColumn("__n", F.row_number().over(pick)).where("__n = 1").drop("__n")
     before = F.when(F.col("__range") == first_range, last_range).otherwise(F.col("__range") - 1)
-    copies = copies.withColumns({"__range": before.cast("int"), "__copy": F.lit(1)})
+    copies = derive(firsts.withColumn("__range", before.cast("int"))).withColumn("__copy", F.lit(1))
     w = Window.partitionBy("__range").orderBy("__copy", F.col(id_col).asc_nulls_first(), *order)
-    both = dealt.unionByName(copies.select(dealt.columns))
-    return both.withColumn("next", F.lead(F.struct(*carried)).over(w)).where("__copy = 0").select(*columns, "next")
+    both = derive(dealt).withColumn("__copy", F.lit(0)).unionByName(copies)
+    return both.withColumn("next", F.lead(F.struct(*carried)).over(w)).where("__copy = 0").drop("__copy", "__range")
 
 
 def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints each text and its edited form, whose last quarter is the beginning of the next document."""
     bits = lexicon(docs, text_col)
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    own = own.withColumn("fingerprint", fingerprint(F.col("text"), bits))
-    pairs = with_next(own, "doc_id", ["text"], ["text", "fingerprint"])
+    marked = lambda df: df.withColumn("fingerprint", fingerprint(F.col("text"), bits))
+    pairs = with_next(own, "doc_id", ["text"], ["text", "fingerprint"], marked)
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - quarter), F.substr(F.col("next.text"), F.lit(1), quarter))
     out = pairs.withColumn("__edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("__edited"), bits))
