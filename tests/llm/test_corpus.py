@@ -174,7 +174,10 @@ def near_rows():
     return [*out, (3, rows[60]), (None, rows[0]), (None, "only once here now and then"), (0, rows[0])]
 
 
-def test_near_duplicates_against_all_pairs(spark):
+@pytest.mark.parametrize("pairwise", [48, 2])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(neardup, "PAIRWISE", pairwise)
+    monkeypatch.setattr(neardup, "BLOCK", 3 if pairwise == 2 else 192)
     rows = near_rows()
     df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, class_id int")
     got = neardup.classify(df).collect()
@@ -194,6 +197,13 @@ def test_near_duplicates_against_all_pairs(spark):
     assert neardup.classify(df.limit(0)).count() == 0 and neardup.deduplicate(df.limit(0)).count() == 0
 
 
+def test_common_counts():
+    r = random.Random(3)
+    sets = [np.array(sorted(r.sample(range(60), r.randrange(1, 40))), dtype=np.uint64) for _ in range(12)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets[5:]] for a in sets[:5]]
+    assert neardup.common_counts(sets[:5], sets[5:], width=7).tolist() == want
+
+
 def test_registers_estimate_probability_jaccard():
     r = random.Random(9)
     a = {i: r.choice([1.0, 2.0, 3.5]) for i in range(400)}

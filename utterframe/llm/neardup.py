@@ -36,6 +36,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 LEADERS = 3
 BITMAP_BITS = 24
+#: Nodes of a bucket that are compared pair by pair; larger buckets are cut into blocks of about BLOCK.
+PAIRWISE, BLOCK = 48, 192
 WORD = re.compile(r"[^\W_]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -220,6 +222,60 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return wide.mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def common_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 16_384) -> np.ndarray:
+    """Sizes of the intersections of each set of a with each of b, by products of incidence matrices in strips."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    cat = lambda sets: (np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+    (va, ra), (vb, rb) = cat(a), cat(b)
+    shared = np.intersect1d(va, vb)
+    ka, kb = np.searchsorted(shared, va), np.searchsorted(shared, vb)
+    in_a = (ka < len(shared)) & (shared[np.minimum(ka, len(shared) - 1)] == va) if len(shared) else np.zeros(len(va), bool)
+    in_b = (kb < len(shared)) & (shared[np.minimum(kb, len(shared) - 1)] == vb) if len(shared) else np.zeros(len(vb), bool)
+    ka, ra, kb, rb = ka[in_a], ra[in_a], kb[in_b], rb[in_b]
+    for lo in range(0, len(shared), width):
+        x, y = np.zeros((len(a), width), dtype=np.float32), np.zeros((len(b), width), dtype=np.float32)
+        at = (ka >= lo) & (ka < lo + width)
+        x[ra[at], ka[at] - lo] = 1
+        at = (kb >= lo) & (kb < lo + width)
+        y[rb[at], kb[at] - lo] = 1
+        out += x @ y.T
+    return out
+
+
+def compare_blocks(rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between the classes of large buckets: small nodes against all, block by block.
+
+    A bucket's nodes are dealt to blocks of about BLOCK; each pair of blocks is one bounded group, compared by matrix
+    products, and gives its links only. Takes band, node, label, small and n, the bucket's nodes.
+    """
+    blocks_of = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    dealt = rest.withColumn("own", F.pmod(F.xxhash64("node", "band"), blocks_of).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
+    keyed = paired.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "small")
+    schema = "a binary, b binary, similarity double"
+    arrow = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = group.select(["i", "j", "own", "node", "label", "small", "set"]).to_pylist()
+        left = [r for r in rows if r["own"] == r["i"]]
+        right = [r for r in rows if r["own"] == r["j"]]
+        out: list[tuple] = []
+        for x, y in ((left, right), (right, left)):
+            x = [r for r in x if r["small"]]
+            if not x or not y:
+                continue
+            sx, sy = ([np.frombuffer(r["set"], dtype=np.uint64) for r in side] for side in (x, y))
+            both = common_counts(sx, sy)
+            score = both / np.maximum(np.array([len(s) for s in sx])[:, None] + np.array([len(s) for s in sy]) - both, 1)
+            for p, q in np.argwhere(score >= threshold).tolist():
+                if x[p]["label"] != y[q]["label"]:
+                    out.append((*sorted((x[p]["node"], y[q]["node"])), float(score[p, q])))
+        cols = list(zip(*set(out), strict=True)) or [(), (), ()]
+        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
+
+    return keyed.join(sets, "node").groupBy("band", "i", "j").applyInArrow(compare, schema).distinct()
+
+
 def components(links: DataFrame, name: str = "labels") -> DataFrame:
     """node, label: the least node of its component, for each node that has a link.
 
@@ -254,18 +310,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sets = materialize(shingle_sets(docs, text_col, members), "sets")
     links = materialize(verified(pairs, sets, threshold), "links")
 
-    # buckets whose nodes aren't one class yet: nodes outside the bucket's largest class against all other classes
+    # buckets that aren't one class yet: nodes outside the bucket's largest class against all of other classes
     labels = components(links, "labels")
     named = buckets.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     sizes = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-    split = sizes.groupBy("band").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label"))["label"].alias("largest"))
-    rest = materialize(named.join(split.where("classes > 1").select("band", "largest"), "band"), "rest")
-    small = rest.where("label != largest").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
-    every = rest.select("band", F.col("node").alias("y"), F.col("label").alias("ly"), (F.col("label") == F.col("largest")).alias("large"))
+    split = sizes.groupBy("band").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("largest")
+    ).where("classes > 1").select("band", "n", "largest")
+    rest = materialize(named.join(split, "band").select("band", "node", "label", (F.col("label") != F.col("largest")).alias("small"), "n"), "rest")
+    few = rest.where(F.col("n") <= PAIRWISE)
+    small = few.where("small").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
+    every = few.select("band", F.col("node").alias("y"), F.col("label").alias("ly"), (~F.col("small")).alias("large"))
     across = small.join(every, "band").where((F.col("lx") != F.col("ly")) & (F.col("large") | (F.col("x") < F.col("y"))))
     across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = materialize(verified(across.join(pairs, ["a", "b"], "left_anti"), sets, threshold), "links")
-    links = links.unionByName(more)
+    many = materialize(compare_blocks(rest.where(F.col("n") > PAIRWISE), sets, threshold), "links")
+    links = links.unionByName(more).unionByName(many)
     return Links(rows.select("id", "node"), links, components(links, "classes"))
 
 
