@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,19 +11,24 @@ from utterframe.llm import bpe, decontam, langid, neardup, toxicity
 from utterframe.llm.common import fold, materialize, table
 
 
+def _accepted(docs: DataFrame, score: Callable[[DataFrame], DataFrame], outputs: tuple[str, ...], condition: str) -> DataFrame:
+    """The documents that meet a condition on what ``score`` adds; columns of theirs with such a name come back as they were."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c in outputs}
+    scored = score(docs.withColumnsRenamed(aside)).where(condition)
+    return scored.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the model, trained on the learning rows of ``labels``, finds toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=fold("doc_id", 5) != 0)
-    kept = docs.withColumn("__text", F.col("text"))
-    scored = toxicity.score_documents(kept, model, "__text")
-    return scored.where("predicted = 0").select(docs.columns)
+    return _accepted(docs, lambda df: toxicity.score_documents(df, model), ("score", "predicted", "offending"), "predicted = 0")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language cannot be told: no letters, or a posterior under one half."""
     model = langid.fit(docs, learn=fold("doc_id", 5) != 0)
-    found = langid.identify(docs, model)
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= 0.5)).select(docs.columns)
+    told = f"lang_pred <> '{langid.UNDETERMINED}' and score >= 0.5"
+    return _accepted(docs, lambda df: langid.identify(df, model), ("lang_pred", "score"), told)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,6 +243,25 @@ def test_pipeline_stages(spark):
     assert final and all(r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest() for r in final)
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_stages_keep_odd_rows_and_foreign_columns(spark):
+    sf = "/root/testdata/sf0.001"
+    real = common.table(spark, sf, "documents").withColumns({"score": F.lit("mine"), "predicted": F.lit("p"), "lang_pred": F.lit("l")})
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (None, "Texte sans id ni langue, mais une phrase entière."), (9003, "12 !?")], "doc_id long, text string")
+    docs = real.unionByName(odd, allowMissingColumns=True)
+    clean = corpus_pipeline.toxicity_stage(spark, docs, sf)
+    assert clean.columns == docs.columns and {r.score for r in clean.where("doc_id < 9000").collect()} == {"mine"}
+    assert clean.where("doc_id > 9000 or doc_id is null").count() == 4
+    told = corpus_pipeline.language_stage(spark, docs, sf)
+    assert told.columns == docs.columns and {r.predicted for r in told.where("doc_id < 9000").collect()} == {"p"}
+    assert told.where("doc_id > 9000").count() == 0
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, sf)
+    assert kept.columns == docs.columns and kept.where("doc_id > 9000 or doc_id is null").count() >= 3
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
