@@ -352,14 +352,17 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     classes = materialize(named_classes(near_duplicates(docs, id_col=id_col, text_col=text_col, threshold=threshold)), "named")
     keepers = classes.where("id = class_id").select(F.col("id").alias("__id")).distinct()
     repeated = classes.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").select(F.col("id").alias("__id"))
+    repeated = materialize(repeated, "repeated")
     with_text = docs.where(F.col(text_col).isNotNull())
-    same_id = F.col(id_col).eqNullSafe(F.col("__id"))
-    single = with_text.join(keepers.join(repeated, "__id", "left_anti"), F.col(id_col) == F.col("__id"), "left_semi")
+    without = docs.where(F.col(text_col).isNull())
+    # the ids that stay are about as many as the documents: both sides are dealt by id at any size
+    single = with_text.join(keepers.join(repeated, "__id", "left_anti").hint("merge"), F.col(id_col) == F.col("__id"), "left_semi")
+    if repeated.isEmpty():
+        return single.unionByName(without)
     # rows that share an id, or have none, are told apart by their text
-    unclear = with_text.join(repeated, same_id, "left_semi")
+    unclear = with_text.join(repeated, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
     keyed = append_columns(unclear, [("__node", "binary")], text_col, lambda: lambda texts: [[node_key(s) for s in _sets(texts, _WordHash())]])
     of_node = classes.groupBy(F.col("node").alias("__node")).agg(F.first("label").alias("__label"), F.first("class_id").alias("__class"))
     first = Window.partitionBy("__label").orderBy(text_col)
     chosen = keyed.join(of_node, "__node").where(F.col(id_col).eqNullSafe(F.col("__class"))).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    without = docs.where(F.col(text_col).isNull())
     return single.unionByName(chosen.select(docs.columns)).unionByName(without)
