@@ -197,6 +197,20 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, pairwise):
     assert neardup.classify(df.limit(0)).count() == 0 and neardup.deduplicate(df.limit(0)).count() == 0
 
 
+def test_copies_with_a_repeated_line_are_found(spark):
+    rows = []
+    for g in range(12):
+        base = words(200, 3000 + g)
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base + words(20, 4000 + g) * 50))]
+    assert all(len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b)) >= 0.8 for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True))
+    got = {r.doc_id: r.class_id for r in neardup.classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+    # bands agree where the plain Jaccard similarity is high, also if both copies repeat other lines
+    hash_sets = neardup._sets([" ".join(words(200, 1) + words(12, 2) * 40), " ".join(words(200, 1) + words(12, 3) * 40)], neardup._WordHash())
+    one, other = neardup.text_bands(hash_sets)
+    assert len(set(one)) == len(one) and set(one) & set(other)
+
+
 def test_common_counts():
     r = random.Random(3)
     sets = [np.array(sorted(r.sample(range(60), r.randrange(1, 40))), dtype=np.uint64) for _ in range(12)]

@@ -6,6 +6,10 @@ that arrives first. Arrivals are made in rounds for all shingles of a block of t
 its next arrival is later than all registers' first ones. Two texts agree in a register with their probability Jaccard
 similarity. Registers are cut into bands; texts that agree in a whole band are candidates.
 
+Links are verified by the plain Jaccard similarity, which a shingle repeated in one copy only leaves high while it lowers
+the weighted one. A text with a repeated shingle therefore has a second row of registers with all weights 1, which agree
+with the plain Jaccard similarity; where no shingle repeats both rows are the same. All texts so meet by equal weights.
+
 Texts with equal words are one node. In each band's bucket every node is compared with the bucket's leaders (the first
 nodes by three random orders that hold for all buckets), links that reach the threshold join nodes to classes, and then
 each bucket that still holds several classes is compared node by node across classes, until no pair of a bucket is left
@@ -88,6 +92,29 @@ def weighted(all_shingles: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np
     return doc, values.astype(np.uint64), 1 + np.log2(np.maximum(counts, 1))
 
 
+def band_hashes(kept: np.ndarray) -> np.ndarray:
+    """A hash of each band of each row of registers."""
+    h = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(kept), 1))
+    for r in range(ROWS):
+        h = mix(h * _M + kept[:, r::ROWS])
+    return h.view(np.int64)
+
+
+def text_bands(all_shingles: list[np.ndarray]) -> list[list[int]]:
+    """Distinct band hashes of each text, by weights and by equal weights; none for a text without words."""
+    n = len(all_shingles)
+    doc, values, weights = weighted(all_shingles)
+    by_weight = band_hashes(signatures(doc, values, weights, n)).tolist()
+    repeats = np.unique(doc[weights > 1])
+    number = np.full(n, -1)
+    number[repeats] = np.arange(len(repeats))
+    of = number[doc] >= 0
+    equal = band_hashes(signatures(number[doc[of]], values[of], np.ones(of.sum()), len(repeats))).tolist()
+    for i, row in zip(repeats.tolist(), equal, strict=True):
+        by_weight[i] = list(dict.fromkeys(by_weight[i] + row))
+    return [row if len(s) else [] for row, s in zip(by_weight, all_shingles, strict=True)]
+
+
 def signatures(doc: np.ndarray, values: np.ndarray, weights: np.ndarray, n_docs: int) -> np.ndarray:
     """The first shingle to arrive at each register, a row per document (0 where it has no shingle)."""
     first = np.full((n_docs, REGISTERS), np.inf)
@@ -152,12 +179,8 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             bands: list = []
             for lo, hi in blocks(texts):
                 found = _sets(texts[lo:hi], known)
-                kept = signatures(*weighted(found), hi - lo)
-                h = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (hi - lo, 1))
-                for r in range(ROWS):
-                    h = mix(h * _M + kept[:, r::ROWS])
                 nodes += map(node_key, found)
-                bands += [row if len(f) else [] for row, f in zip(h.view(np.int64).tolist(), found, strict=True)]
+                bands += text_bands(found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "node", "bands"]
             )
