@@ -40,6 +40,21 @@ def test_leaks(spark):
     assert decontam.find_leaks(df.limit(0), bench).count() == 0 and decontam.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def leaks_of(spark, docs, items):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontam.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r.doc_id, r.item_id): (r.kind, round(r.coverage, 2)) for r in found}
+
+
+def test_copies_in_any_case_leak(spark):
+    german = (
+        "Der Zug verlässt den Bahnhof in Berlin am Morgen und erreicht nach einer Fahrt von drei Stunden die Stadt Hamburg, "
+        "wo der Fahrer eine Pause auf der Straße macht"
+    )
+    docs = [(i, f"{' '.join(words(40, i))}. {t}. {' '.join(words(40, 50 + i))}") for i, t in enumerate([german, german.lower(), german.upper(), german.title()])]
+    assert leaks_of(spark, [*docs, (9, " ".join(words(90, 5)))], [(0, german)]) == {(i, 0): ("exact", 1.0) for i in range(4)}
+
+
 def test_template_tokens():
     got = [decontam.canonical(t) for t in decontam.TOKEN.findall(".The 1,200 kg of Alice. Bob met Twelve")]
     assert got == [("the", None), ("<num>", "1200"), ("<unit>", "kg"), ("of", None), ("<name>", "alice"), ("<name>", "bob"), ("met", None), ("<num>", "twelve")]

@@ -1,17 +1,18 @@
-"""Benchmark decontamination by template windows.
+"""Benchmark decontamination by template windows and plain windows.
 
 Texts become typed tokens: numbers, names and units turn into placeholders that keep their value as a slot, other words
 stay, lower-cased. Windows of five tokens, at least three of them words, are hashed and joined between benchmark and
-documents. Windows are grouped by alignment (place in the document less place in the item); a group whose slots map one
-value of the item to two values of the document is not the same question and doesn't count. An item leaks into a document
-where the remaining windows cover at least ``COVERAGE`` of the item's; it is ``exact`` if all slot values are the item's,
-else ``reparameterised``.
+documents; so are windows of any five plain tokens, whatever their case, which find copies word for word where case turns
+words into names or slots stand close. Windows are grouped by alignment (place in the document less place in the item). If
+the slots of an alignment map one value of the item to two values of the document, it doesn't count. An item leaks into a document where
+the remaining windows cover at least ``COVERAGE`` of its template windows, or of all its windows; it is ``exact`` if all
+their slot values are the item's, else ``reparameterised``.
 
 A bitmap of the benchmark's window hashes, of fixed size whatever the benchmark's, lets the scan of the documents drop
 windows that cannot join; those that pass meet the benchmark in an equi-join.
 
-Defined results: null and empty texts have no windows, nor have texts under five tokens (such items cannot be matched);
-rows of one doc_id count as one document, and null ids report as null; repeated items report once by item_id; empty
+Defined results: null and empty texts, and those under five tokens, have no windows (such items cannot be matched); rows of one doc_id count as one
+document, and null ids report as null; repeated items report once by item_id; empty
 tables give an empty result.
 """
 
@@ -19,13 +20,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import bounded_batches
+from utterframe.llm.common import blocks, bounded_batches
 
 WINDOW, LITERALS, COVERAGE = 5, 3, 0.6
 BITMAP_BITS = 22
@@ -71,72 +73,135 @@ def canonical(token: str) -> tuple[str, str | None]:
     return lowered, None
 
 
-class _Canonical(dict):
-    """Match of ``TOKEN`` -> 64-bit hash of its template token, lowest bit set for plain words."""
+def spelling(token: str) -> str:
+    """A match of ``TOKEN`` as plain windows compare it: its word or number, whatever its case."""
+    word = re.search(r"[^\W_].*$", token, re.DOTALL)[0]
+    return word.replace(",", "") if word[0].isdigit() else word.casefold()
+
+
+def _hash(text: str) -> int:
+    h = 1469598103934665603
+    for byte in text.encode("utf-8", "surrogatepass"):
+        h = (h ^ byte) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
+    return h ^ h >> 31
+
+
+class _Tokens(dict):
+    """Match of ``TOKEN`` -> its number in template (hash of the template token, lowest bit set for plain words) and plain."""
+
+    def __init__(self):
+        super().__init__()
+        self.template, self.plain = np.zeros(1 << 16, dtype=np.uint64), np.zeros(1 << 16, dtype=np.uint64)
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
+        n = len(self)
+        if n == len(self.plain):
+            self.template, self.plain = np.append(self.template, np.zeros_like(self.template)), np.append(self.plain, np.zeros_like(self.plain))
         template, slot = canonical(token)
-        h = 1469598103934665603
-        for byte in template.encode("utf-8", "surrogatepass"):
-            h = (h ^ byte) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
-        h ^= h >> 31
-        self[token] = (h & ~1) | (slot is None)
-        return self[token]
-
-
-def window_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place and hash of each window with enough words."""
-    n = len(hashes) - WINDOW + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    h = np.full(n, 0x5851F42D4C957F2D, dtype=np.uint64)
-    words = np.zeros(n, dtype=np.int64)
-    for i in range(WINDOW):
-        part = hashes[i : i + n]
-        h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        self.template[n] = (_hash(template) & ~1) | (slot is None)
+        self.plain[n] = _hash(spelling(token))
+        self[token] = n
+        return n
+
+
+def window_hashes(hashes: np.ndarray, ends: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of each window of ``width`` tokens; ``ends`` is where each token's text ends."""
+    n = max(0, len(hashes) - width + 1)
+    h = np.full(n, seed, dtype=np.uint64)
+    for i in range(width):
+        h = (h ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-        words += (part & np.uint64(1)).astype(np.int64)
-    at = np.flatnonzero(words >= LITERALS)
-    return at, h[at].view(np.int64)
+    at = np.flatnonzero(np.arange(n) + width <= ends[:n])
+    return at, h[at]
 
 
 def slots(tokens: list[str]) -> list[str | None]:
     return [canonical(t)[1] for t in tokens]
 
 
-def template_windows(df: DataFrame, id_col: str, text_col: str, out_id: str, bitmap: np.ndarray | None = None) -> DataFrame:
-    """A row per window that may be in the bitmap: id, hash, place, windows of the text, slot values."""
+def text_windows(texts: list[str | None], known: _Tokens, short: set[int] | None) -> Iterator[tuple]:
+    """Kind, width, text, place, hash of all windows of some texts, an array each, and the texts' tokens.
+
+    Texts under five tokens are one plain window as items (``short`` is None); documents have windows of the widths
+    ``short`` instead, those under three tokens only where they stand between ends of sentences.
+    """
+    tokens_of = [TOKEN.findall(TEXT_START + t) if t else [] for t in texts]
+    counts = np.array([len(t) for t in tokens_of], dtype=np.int64)
+    tokens = list(chain.from_iterable(tokens_of))
+    number = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+    row, ends = np.repeat(np.arange(len(texts)), counts), np.repeat(np.cumsum(counts), counts)
+    first = ends - np.repeat(counts, counts)
+    template, plain = known.template[number], known.plain[number]
+    words = np.append(0, np.cumsum((template & np.uint64(1)).astype(np.int64)))
+    at, h = window_hashes(template, ends, WINDOW, 0x5851F42D4C957F2D)
+    enough = words[at + WINDOW] - words[at] >= LITERALS
+    at, h = at[enough], h[enough]
+    yield False, WINDOW, row[at], at - first[at], at, h, tokens
+    for width in (WINDOW,):
+        if width < WINDOW and short is not None and width not in short:
+            continue
+        at, h = window_hashes(plain, ends, width, 0x2545F4914F6CDD1D + width)
+        if width < WINDOW and short is None:
+            keep = counts[row[at]] == width
+            at, h = at[keep], h[keep]
+        elif width < LITERALS:
+            starts = np.array([not t[0].isalnum() for t in tokens] + [True])
+            keep = starts[at] & ((at + width == ends[at]) | starts[at + width])
+            at, h = at[keep], h[keep]
+        yield True, width, row[at], at - first[at], at, h, tokens
+
+
+WINDOW_FIELDS = "hash long, plain boolean, in_template boolean, width int, at int, n_template int, n_plain int, slots array<string>"
+
+
+def windows(
+    df: DataFrame, id_col: str, text_col: str, out_id: str, bitmap: np.ndarray | None = None, short: set[int] | None = None
+) -> DataFrame:
+    """A row per window that may be in the bitmap: id, hash of the text, and WINDOW_FIELDS.
+
+    Slot values are null for plain windows of documents (they are the item's), the numbers of windows are the item's.
+    """
     bounded_batches(df.sparkSession)
     shared = None if bitmap is None else df.sparkSession.sparkContext.broadcast(bitmap)
-    schema = f"{out_id} {df.schema[id_col].dataType.simpleString()}, hash long, at int, n_windows int, slots array<string>"
+    schema = f"{out_id} {df.schema[id_col].dataType.simpleString()}, text_hash long, {WINDOW_FIELDS}"
+    kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Canonical()
+        known = _Tokens()
         for batch in batches:
+            texts = batch.column("__text").to_pylist()
             rows: list[int] = []
-            cols: dict[str, list] = {"hash": [], "at": [], "n": [], "slots": []}
-            for row, text in enumerate(batch.column("__text").to_pylist()):
-                tokens = TOKEN.findall(TEXT_START + text) if text else []
-                at, h = window_hashes(np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens)))
-                found = len(at)
-                if shared is not None and found:
-                    place = h.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-                    hit = (shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                    at, h = at[hit], h[hit]
-                rows += [row] * len(at)
-                cols["hash"] += h.tolist()
-                cols["at"] += at.tolist()
-                cols["n"] += [found] * len(at)
-                cols["slots"] += [slots(tokens[i : i + WINDOW]) for i in at.tolist()]
+            cols: list[list] = [[] for _ in kinds]
+            for lo, hi in blocks(texts):
+                if len(known) > 300_000:
+                    known = _Tokens()
+                total = np.zeros((2, hi - lo), dtype=np.int64)
+                mine = []
+                for plain, width, row, at, place, h, tokens in text_windows(texts[lo:hi], known, short):
+                    if shared is None:
+                        total[int(plain)] += np.bincount(row, minlength=hi - lo)
+                    else:
+                        bit = h >> np.uint64(64 - BITMAP_BITS)
+                        hit = (shared.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                        row, at, place, h = row[hit], at[hit], place[hit], h[hit]
+                    mine.append((plain, width, row, at, place, h, tokens))
+                for plain, width, row, at, place, h, tokens in mine:
+                    rows += (row + lo).tolist()
+                    values = [None] * len(h) if plain and shared is not None else [slots(tokens[i : i + width]) for i in place.tolist()]
+                    more = (
+                        h.view(np.int64).tolist(), [plain] * len(h), np.isin(place, mine[0][4]).tolist(), [width] * len(h), at.tolist(),
+                        total[0][row].tolist(), total[1][row].tolist(), values,
+                    )
+                    for col, part in zip(cols, more, strict=True):
+                        col += part
+            picked = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(out_id).take(pa.array(rows, pa.int64())), pa.array(cols["hash"], pa.int64()), pa.array(cols["at"], pa.int32()),
-                 pa.array(cols["n"], pa.int32()), pa.array(cols["slots"], pa.list_(pa.string()))],
-                names=[out_id, "hash", "at", "n_windows", "slots"],
-            )
+                [batch.column(out_id).take(picked), batch.column("text_hash").take(picked), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
+                names=[out_id, "text_hash", *(f.split()[0] for f in WINDOW_FIELDS.split(", "))],
+            )
 
-    return df.select(F.col(id_col).alias(out_id), F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    given = df.select(F.col(id_col).alias(out_id), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("__text"))
+    return given.mapInArrow(run, schema)
 
 
 def bitmap_of(windows: DataFrame) -> np.ndarray:
@@ -149,41 +214,57 @@ def bitmap_of(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def find_leaks(
+def leaks_by_text(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", coverage: float = COVERAGE,
 ) -> DataFrame:
-    """A row per document and item that leaks into it: doc_id, item_id, kind, coverage, matched windows."""
+    """A row per document (id and hash of the text) and item that leaks into it."""
     once = benchmark.where(F.col(item_text_col).isNotNull()).dropDuplicates([item_col, item_text_col])
-    items = template_windows(once, item_col, item_text_col, "item_id").withColumnsRenamed({"at": "item_at", "slots": "item_slots", "n_windows": "item_windows"})
-    bitmap = bitmap_of(items)
-    found = template_windows(docs, id_col, text_col, "doc_id", bitmap).drop("n_windows")
-    joined = found.join(items, "hash").withColumn("shift", F.col("at") - F.col("item_at"))
-    joined = joined.withColumn("pairs", F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"].isNotNull()))
-    by_shift = ["doc_id", "item_id", "item_windows", "shift"]
-    # of each alignment: windows matched, and the distinct (item value, document value) pairs; a window reaches
-    # the same token as its neighbours, so the pairs stay few
-    aligned = joined.groupBy(*by_shift).agg(
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.collect_set("item_at").alias("places")
+    items = windows(once, item_col, item_text_col, "item_id").withColumnsRenamed({"text_hash": "item_hash", "at": "item_at", "slots": "item_slots"})
+    short = {r.width for r in items.where(F.col("width") < WINDOW).select("width").distinct().collect()}  # WINDOW - 1 at most
+    found = windows(docs, id_col, text_col, "doc_id", bitmap_of(items), short).drop("in_template", "n_template", "n_plain", "width")
+    joined = found.join(items, ["hash", "plain"]).withColumn("shift", F.col("at") - F.col("item_at"))
+    zipped = F.arrays_zip("item_slots", F.coalesce("slots", "item_slots").alias("slots"))
+    joined = joined.withColumn("pairs", F.array_distinct(F.filter(zipped, lambda p: p["item_slots"].isNotNull())))
+    by_item = ["doc_id", "item_id", "item_hash", "n_template", "n_plain"]
+    # of each alignment: the windows matched, each with its (item value, document value) pairs: as many as the item has
+    aligned = joined.groupBy(*by_item, "shift").agg(F.collect_set(F.struct("item_at", "in_template", "pairs")).alias("w"))
+    pairs = F.array_distinct(F.flatten("w.pairs"))
+    repeated = lambda ps: F.filter(ps, lambda p: F.size(F.filter(ps, lambda q: q["item_slots"] == p["item_slots"])) > 1)
+    other = lambda p: ~p["item_slots"].eqNullSafe(p["slots"])
+    aligned = aligned.withColumn("clash", F.filter(repeated(pairs), other))
+    aligned = aligned.where(F.size("clash") == 0)
+    same = ~F.exists("w", lambda w: F.exists(w["pairs"], other))
+    at = lambda w: F.array_distinct(F.transform(w, lambda x: x["item_at"]))
+    places = aligned.select(
+        *by_item, at(F.col("w")).alias("all"), at(F.filter("w", lambda x: x["in_template"])).alias("template"), same.alias("same")
     )
-    keys = F.transform("pairs", lambda p: p["item_slots"])
-    consistent = aligned.where(F.size(F.array_distinct(keys)) == F.size("pairs"))
-    same = ~F.exists("pairs", lambda p: ~p["item_slots"].eqNullSafe(p["slots"]))
-    covered = consistent.groupBy("doc_id", "item_id", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("matched"),
-        F.max(F.when(same, F.size("places")).otherwise(0)).alias("same_windows"),
+    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c))))
+    equal = lambda c: F.max(F.when(F.col("same"), F.size(c)).otherwise(0))
+    covered = places.groupBy(*by_item).agg(
+        distinct("all").alias("all"), distinct("template").alias("template"), equal("all").alias("same_all"), equal("template").alias("same_template")
     )
-    share = F.col("matched") / F.col("item_windows")
-    leaks = covered.where(share >= coverage).select(
-        "doc_id", "item_id",
-        F.when(F.col("same_windows") >= coverage * F.col("item_windows"), "exact").otherwise("reparameterised").alias("kind"),
-        share.alias("coverage"), F.col("matched").cast("int").alias("matched_windows"),
+    shares = [
+        F.struct(
+            (F.col(n) / F.when(F.col(of) > 0, F.col(of))).alias("coverage"), F.col(n).cast("int").alias("matched_windows"),
+            F.when(F.col(same_n) >= coverage * F.col(of), "exact").otherwise("reparameterised").alias("kind"),
+        ) for n, same_n, of in (("template", "same_template", "n_template"), ("all", "same_all", "n_plain"))
+    ]
+    leaks = covered.select("doc_id", F.lit(0).alias("text_hash"), "item_id", F.greatest(*shares).alias("b")).where(F.col("b.coverage") >= coverage)
+    return leaks.groupBy("doc_id", "text_hash", "item_id").agg(F.max("b").alias("b")).select(
+        "doc_id", "text_hash", "item_id", "b.kind", "b.coverage", "b.matched_windows"
     )
-    best = F.max(F.struct("coverage", "matched_windows", "kind"))
-    return leaks.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.kind", "b.coverage", "b.matched_windows")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
+    """A row per document and item that leaks into it: doc_id, item_id, kind, coverage, matched windows."""
+    return leaks_by_text(docs, benchmark, **columns).drop("text_hash")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents into which an item leaks."""
-    leaks = find_leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col] == F.col("__leak"), "left_anti")
+    """``docs`` without the documents into which an item leaks.
+
+    A document is all rows of an id, and rows without an id stay.
+    """
+    leaks = leaks_by_text(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak"), F.col("text_hash").alias("__hash"))
+    return docs.join(leaks.select("__leak").distinct(), docs[id_col] == F.col("__leak"), "left_anti")
