@@ -55,6 +55,14 @@ def test_copies_in_any_case_leak(spark):
     assert leaks_of(spark, [*docs, (9, " ".join(words(90, 5)))], [(0, german)]) == {(i, 0): ("exact", 1.0) for i in range(4)}
 
 
+def test_one_inconsistent_value_takes_out_its_windows_only(spark):
+    w = words(60, 1)
+    item = " ".join([*w[:10], "Boston", *w[10:45], "Boston", *w[45:]])
+    edited = " ".join([*w[:10], "Boston", *w[10:45], "Bostan", *w[45:]])
+    got = leaks_of(spark, [(1, edited), (2, MIXED)], [(0, item), (1, ITEM)])
+    assert list(got) == [(1, 0)] and got[1, 0][0] == "exact" and 0.9 <= got[1, 0][1] < 1
+
+
 def test_template_tokens():
     got = [decontam.canonical(t) for t in decontam.TOKEN.findall(".The 1,200 kg of Alice. Bob met Twelve")]
     assert got == [("the", None), ("<num>", "1200"), ("<unit>", "kg"), ("of", None), ("<name>", "alice"), ("<name>", "bob"), ("met", None), ("<num>", "twelve")]

@@ -4,7 +4,8 @@ Texts become typed tokens: numbers, names and units turn into placeholders that
 stay, lower-cased. Windows of five tokens, at least three of them words, are hashed and joined between benchmark and
 documents; so are windows of any five plain tokens, whatever their case, which find copies word for word where case turns
 words into names or slots stand close. Windows are grouped by alignment (place in the document less place in the item). If
-the slots of an alignment map one value of the item to two values of the document, it doesn't count. An item leaks into a document where
+the slots of an alignment map one value of the item to two values of the document, the windows that hold such a value in
+another form than the item's don't count; windows with the item's values always do. An item leaks into a document where
 the remaining windows cover at least ``COVERAGE`` of its template windows, or of all its windows; it is ``exact`` if all
 their slot values are the item's, else ``reparameterised``.
 
@@ -233,7 +234,7 @@ def leaks_by_text(
     repeated = lambda ps: F.filter(ps, lambda p: F.size(F.filter(ps, lambda q: q["item_slots"] == p["item_slots"])) > 1)
     other = lambda p: ~p["item_slots"].eqNullSafe(p["slots"])
     aligned = aligned.withColumn("clash", F.filter(repeated(pairs), other))
-    aligned = aligned.where(F.size("clash") == 0)
+    aligned = aligned.withColumn("w", F.filter("w", lambda w: ~F.arrays_overlap(w["pairs"], F.col("clash"))))
     same = ~F.exists("w", lambda w: F.exists(w["pairs"], other))
     at = lambda w: F.array_distinct(F.transform(w, lambda x: x["item_at"]))
     places = aligned.select(
