@@ -63,6 +63,13 @@ def test_one_inconsistent_value_takes_out_its_windows_only(spark):
     assert list(got) == [(1, 0)] and got[1, 0][0] == "exact" and 0.9 <= got[1, 0][1] < 1
 
 
+def test_items_without_template_windows_leak(spark):
+    items = ["What is 12 + 7 - 3?", "1 2 3 4 5 6 7 8", "Who was Ada Lovelace", "Why?", "Anna, Bob, Alice, Jane, Jack, Peter"]
+    docs = [(i, f"{' '.join(words(30, i))}. {t} {' '.join(words(30, 50 + i))}") for i, t in enumerate(items)]
+    docs += [(10, "what is 12 + 7 - 4"), (11, "nobody knows why and how"), (12, "1 2 3 4 9 6 7 8"), (13, "???"), (14, "")]
+    assert leaks_of(spark, docs, [*enumerate(items), (7, "+ - ?")]) == {(i, i): ("exact", 1.0) for i in range(5)}
+
+
 def test_template_tokens():
     got = [decontam.canonical(t) for t in decontam.TOKEN.findall(".The 1,200 kg of Alice. Bob met Twelve")]
     assert got == [("the", None), ("<num>", "1200"), ("<unit>", "kg"), ("of", None), ("<name>", "alice"), ("<name>", "bob"), ("met", None), ("<num>", "twelve")]

@@ -9,10 +9,13 @@ another form than the item's don't count; windows with the item's values always
 the remaining windows cover at least ``COVERAGE`` of its template windows, or of all its windows; it is ``exact`` if all
 their slot values are the item's, else ``reparameterised``.
 
+An item under five tokens is one plain window of all its tokens; one of one or two tokens is only found where it stands
+between ends of sentences, since any text may hold the words.
+
 A bitmap of the benchmark's window hashes, of fixed size whatever the benchmark's, lets the scan of the documents drop
 windows that cannot join; those that pass meet the benchmark in an equi-join.
 
-Defined results: null and empty texts, and those under five tokens, have no windows (such items cannot be matched); rows of one doc_id count as one
+Defined results: null and empty texts, and those without a word or number, have no windows; rows of one doc_id count as one
 document, and null ids report as null; repeated items report once by item_id; empty
 tables give an empty result.
 """
@@ -138,7 +141,7 @@ def text_windows(texts: list[str | None], known: _Tokens, short: set[int] | None
     enough = words[at + WINDOW] - words[at] >= LITERALS
     at, h = at[enough], h[enough]
     yield False, WINDOW, row[at], at - first[at], at, h, tokens
-    for width in (WINDOW,):
+    for width in range(1, WINDOW + 1):
         if width < WINDOW and short is not None and width not in short:
             continue
         at, h = window_hashes(plain, ends, width, 0x2545F4914F6CDD1D + width)
