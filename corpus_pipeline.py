@@ -38,7 +38,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents into which a benchmark item leaks."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), by_text=True)
 
 
 def tokenization_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,6 +70,18 @@ def test_items_without_template_windows_leak(spark):
     assert leaks_of(spark, docs, [*enumerate(items), (7, "+ - ?")]) == {(i, i): ("exact", 1.0) for i in range(5)}
 
 
+def test_rows_that_share_an_id_are_judged_apart(spark):
+    half = ITEM.split()
+    rows = [(7, ITEM), (7, "clean text of seven words or more"), (None, ITEM), (None, ALTERED), (None, "another clean text without an id"),
+            (8, " ".join(half[:11])), (8, " ".join(half[11:])), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    left = decontam.decontaminate(df, bench, by_text=True).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter([rows[1], *rows[4:]])
+    found = Counter((r.doc_id, r.kind) for r in decontam.find_leaks(df, bench).collect())
+    assert found == {(7, "exact"): 1, (None, "exact"): 1, (None, "reparameterised"): 1}
+
+
 def test_template_tokens():
     got = [decontam.canonical(t) for t in decontam.TOKEN.findall(".The 1,200 kg of Alice. Bob met Twelve")]
     assert got == [("the", None), ("<num>", "1200"), ("<unit>", "kg"), ("of", None), ("<name>", "alice"), ("<name>", "bob"), ("met", None), ("<num>", "twelve")]

@@ -15,8 +15,8 @@ between ends of sentences, since any text may hold the words.
 A bitmap of the benchmark's window hashes, of fixed size whatever the benchmark's, lets the scan of the documents drop
 windows that cannot join; those that pass meet the benchmark in an equi-join.
 
-Defined results: null and empty texts, and those without a word or number, have no windows; rows of one doc_id count as one
-document, and null ids report as null; repeated items report once by item_id; empty
+Defined results: null and empty texts, and those without a word or number, have no windows; a document is an id (or null)
+with a text, so that rows that share an id are judged and reported apart; repeated items report once by item_id; empty
 tables give an empty result.
 """
 
@@ -38,6 +38,7 @@ BITMAP_BITS = 22
 
 #: A number or a word, with the end of a sentence before it, if there is one.
 TOKEN = re.compile(r"(?:[.!?:\n][^\w]*)?(?:\d+(?:[.,]\d+)*|[^\W\d_]+)")
+BODY = re.compile(r"[^\W_].*$", re.DOTALL)
 TEXT_START = "."
 
 #: Units that follow numbers.
@@ -65,8 +66,8 @@ GIVEN_NAMES = frozenset(
 
 def canonical(token: str) -> tuple[str, str | None]:
     """Template token and slot value (None for a plain word) of one match of ``TOKEN``."""
-    m = re.search(r"[^\W_].*$", token, re.DOTALL)
-    word, starts = m[0], m.start() > 0
+    starts = not token[0].isalnum()
+    word = BODY.search(token)[0] if starts else token
     lowered = word.lower()
     if word[0].isdigit() or lowered in NUMBER_WORDS:
         return "<num>", lowered.replace(",", "") if word[0].isdigit() else lowered
@@ -79,22 +80,18 @@ def canonical(token: str) -> tuple[str, str | None]:
 
 def spelling(token: str) -> str:
     """A match of ``TOKEN`` as plain windows compare it: its word or number, whatever its case."""
-    word = re.search(r"[^\W_].*$", token, re.DOTALL)[0]
+    word = token if token[0].isalnum() else BODY.search(token)[0]
     return word.replace(",", "") if word[0].isdigit() else word.casefold()
 
 
-def _hash(text: str) -> int:
-    h = 1469598103934665603
-    for byte in text.encode("utf-8", "surrogatepass"):
-        h = (h ^ byte) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
-    return h ^ h >> 31
-
-
 class _Tokens(dict):
     """Match of ``TOKEN`` -> its number in template (hash of the template token, lowest bit set for plain words) and plain."""
 
     def __init__(self):
+        from xxhash import xxh64_intdigest
+
         super().__init__()
+        self.of = xxh64_intdigest
         self.template, self.plain = np.zeros(1 << 16, dtype=np.uint64), np.zeros(1 << 16, dtype=np.uint64)
 
     def __missing__(self, token: str) -> int:
@@ -102,29 +99,40 @@ class _Tokens(dict):
         if n == len(self.plain):
             self.template, self.plain = np.append(self.template, np.zeros_like(self.template)), np.append(self.plain, np.zeros_like(self.plain))
         template, slot = canonical(token)
-        self.template[n] = (_hash(template) & ~1) | (slot is None)
-        self.plain[n] = _hash(spelling(token))
+        spelt = spelling(token)
+        self.plain[n] = h = self.of(spelt.encode("utf-8", "surrogatepass"))
+        h = h if template == spelt else self.of(template.encode("utf-8", "surrogatepass"))
+        self.template[n] = (h & ~1) | (slot is None)
         self[token] = n
         return n
 
 
-def window_hashes(hashes: np.ndarray, ends: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place and hash of each window of ``width`` tokens; ``ends`` is where each token's text ends."""
+def window_hashes(
+    hashes: np.ndarray, ends: np.ndarray, width: int, seed: int, bitmap: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, text and hash of each window of ``width`` tokens that may be in the bitmap; ``ends`` is where texts end."""
     n = max(0, len(hashes) - width + 1)
     h = np.full(n, seed, dtype=np.uint64)
     for i in range(width):
-        h = (h ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= hashes[i : i + n]
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-    at = np.flatnonzero(np.arange(n) + width <= ends[:n])
-    return at, h[at]
+    at = np.arange(n)
+    if bitmap is not None:
+        bit = h >> np.uint64(64 - BITMAP_BITS)
+        at = np.flatnonzero((bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1))
+    row = np.searchsorted(ends, at, side="right")
+    inside = at + width <= ends[row] if len(at) else np.zeros(0, dtype=bool)
+    at, row = at[inside], row[inside]
+    return at, row, h[at]
 
 
 def slots(tokens: list[str]) -> list[str | None]:
     return [canonical(t)[1] for t in tokens]
 
 
-def text_windows(texts: list[str | None], known: _Tokens, short: set[int] | None) -> Iterator[tuple]:
-    """Kind, width, text, place, hash of all windows of some texts, an array each, and the texts' tokens.
+def text_windows(texts: list[str | None], known: _Tokens, short: set[int] | None, bitmap: np.ndarray | None = None) -> Iterator[tuple]:
+    """Kind, width, text, place, place in all tokens, hash of the texts' windows that may be in the bitmap, and all tokens.
 
     Texts under five tokens are one plain window as items (``short`` is None); documents have windows of the widths
     ``short`` instead, those under three tokens only where they stand between ends of sentences.
@@ -133,26 +141,24 @@ def text_windows(texts: list[str | None], known: _Tokens, short: set[int] | None
     counts = np.array([len(t) for t in tokens_of], dtype=np.int64)
     tokens = list(chain.from_iterable(tokens_of))
     number = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-    row, ends = np.repeat(np.arange(len(texts)), counts), np.repeat(np.cumsum(counts), counts)
-    first = ends - np.repeat(counts, counts)
+    ends = np.cumsum(counts)
     template, plain = known.template[number], known.plain[number]
-    words = np.append(0, np.cumsum((template & np.uint64(1)).astype(np.int64)))
-    at, h = window_hashes(template, ends, WINDOW, 0x5851F42D4C957F2D)
-    enough = words[at + WINDOW] - words[at] >= LITERALS
-    at, h = at[enough], h[enough]
-    yield False, WINDOW, row[at], at - first[at], at, h, tokens
+    at, row, h = window_hashes(template, ends, WINDOW, 0x5851F42D4C957F2D, bitmap)
+    enough = sum((template[at + i] & np.uint64(1)).astype(np.int64) for i in range(WINDOW)) >= LITERALS
+    at, row, h = at[enough], row[enough], h[enough]
+    yield False, WINDOW, row, at - ends[row] + counts[row], at, h, tokens
     for width in range(1, WINDOW + 1):
         if width < WINDOW and short is not None and width not in short:
             continue
-        at, h = window_hashes(plain, ends, width, 0x2545F4914F6CDD1D + width)
+        at, row, h = window_hashes(plain, ends, width, 0x2545F4914F6CDD1D + width, bitmap)
         if width < WINDOW and short is None:
-            keep = counts[row[at]] == width
-            at, h = at[keep], h[keep]
+            keep = counts[row] == width
+            at, row, h = at[keep], row[keep], h[keep]
         elif width < LITERALS:
             starts = np.array([not t[0].isalnum() for t in tokens] + [True])
-            keep = starts[at] & ((at + width == ends[at]) | starts[at + width])
-            at, h = at[keep], h[keep]
-        yield True, width, row[at], at - first[at], at, h, tokens
+            keep = starts[at] & starts[at + width]  # a text's first token starts a sentence too
+            at, row, h = at[keep], row[keep], h[keep]
+        yield True, width, row, at - ends[row] + counts[row], at, h, tokens
 
 
 WINDOW_FIELDS = "hash long, plain boolean, in_template boolean, width int, at int, n_template int, n_plain int, slots array<string>"
@@ -180,15 +186,9 @@ def windows(
                 if len(known) > 300_000:
                     known = _Tokens()
                 total = np.zeros((2, hi - lo), dtype=np.int64)
-                mine = []
-                for plain, width, row, at, place, h, tokens in text_windows(texts[lo:hi], known, short):
-                    if shared is None:
-                        total[int(plain)] += np.bincount(row, minlength=hi - lo)
-                    else:
-                        bit = h >> np.uint64(64 - BITMAP_BITS)
-                        hit = (shared.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                        row, at, place, h = row[hit], at[hit], place[hit], h[hit]
-                    mine.append((plain, width, row, at, place, h, tokens))
+                mine = list(text_windows(texts[lo:hi], known, short, None if shared is None else shared.value))
+                for plain, _, row, *_ in mine if shared is None else ():
+                    total[int(plain)] += np.bincount(row, minlength=hi - lo)
                 for plain, width, row, at, place, h, tokens in mine:
                     rows += (row + lo).tolist()
                     values = [None] * len(h) if plain and shared is not None else [slots(tokens[i : i + width]) for i in place.tolist()]
@@ -230,7 +230,7 @@ def leaks_by_text(
     joined = found.join(items, ["hash", "plain"]).withColumn("shift", F.col("at") - F.col("item_at"))
     zipped = F.arrays_zip("item_slots", F.coalesce("slots", "item_slots").alias("slots"))
     joined = joined.withColumn("pairs", F.array_distinct(F.filter(zipped, lambda p: p["item_slots"].isNotNull())))
-    by_item = ["doc_id", "item_id", "item_hash", "n_template", "n_plain"]
+    by_item = ["doc_id", "text_hash", "item_id", "item_hash", "n_template", "n_plain"]
     # of each alignment: the windows matched, each with its (item value, document value) pairs: as many as the item has
     aligned = joined.groupBy(*by_item, "shift").agg(F.collect_set(F.struct("item_at", "in_template", "pairs")).alias("w"))
     pairs = F.array_distinct(F.flatten("w.pairs"))
@@ -254,7 +254,7 @@ def leaks_by_text(
             F.when(F.col(same_n) >= coverage * F.col(of), "exact").otherwise("reparameterised").alias("kind"),
         ) for n, same_n, of in (("template", "same_template", "n_template"), ("all", "same_all", "n_plain"))
     ]
-    leaks = covered.select("doc_id", F.lit(0).alias("text_hash"), "item_id", F.greatest(*shares).alias("b")).where(F.col("b.coverage") >= coverage)
+    leaks = covered.select("doc_id", "text_hash", "item_id", F.greatest(*shares).alias("b")).where(F.col("b.coverage") >= coverage)
     return leaks.groupBy("doc_id", "text_hash", "item_id").agg(F.max("b").alias("b")).select(
         "doc_id", "text_hash", "item_id", "b.kind", "b.coverage", "b.matched_windows"
     )
@@ -265,10 +265,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
     return leaks_by_text(docs, benchmark, **columns).drop("text_hash")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
     """``docs`` without the documents into which an item leaks.
 
-    A document is all rows of an id, and rows without an id stay.
+    A document is all rows of an id, and rows without an id stay; ``by_text`` judges every row by its own text.
     """
     leaks = leaks_by_text(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak"), F.col("text_hash").alias("__hash"))
+    if by_text:
+        here = docs[id_col].eqNullSafe(F.col("__leak")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
+        return docs.join(leaks.distinct(), here, "left_anti")
     return docs.join(leaks.select("__leak").distinct(), docs[id_col] == F.col("__leak"), "left_anti")
