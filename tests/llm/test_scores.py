@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -26,6 +28,8 @@ def corpus():
     for i in range(240):
         lang = "en" if i % 3 else "fr"
         text = prose(lang, 60, i)
+        if i % 7 == 3:
+            text = text.replace(" ", " thing ", 2)
         if i % 4 == 0:
             parts = text.split(". ")
             parts.insert(len(parts) // 2, f"you {'idiotic moronic stupidly'.split()[i % 3]} thing")
@@ -42,6 +46,11 @@ def tables(spark, corpus):
     return spark.createDataFrame([*corpus, *ODD, corpus[3]], DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def own_score(df):
+    """The operator's score in place of the input's column of that name."""
+    return df.drop("score").withColumnRenamed("score_", "score")
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", common.fold("id", 5).alias("f"), common.held_out("id", 5, 0).alias("h")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 and r.h == (r.f == 0) for r in got)
@@ -57,8 +66,9 @@ def test_toxicity(spark, corpus):
     docs, labels = tables(spark, corpus)
     model = toxicity.fit(docs, labels, learn=common.fold("doc_id", 5) != 0)
     got = toxicity.score_documents(docs, model)
-    assert got.columns == ["doc_id", "text", "lang", "extra", "score", "predicted", "offending"]
-    rows = got.collect()
+    assert got.columns == ["doc_id", "text", "lang", "score", "extra", "score_", "predicted", "offending"]
+    assert got.where("score = 'old'").count() == len(corpus) + 1  # the input's own column
+    rows = own_score(got).collect()
     assert len(rows) == len(corpus) + len(ODD) + 1
     test = [r for r in rows if r.doc_id is not None and r.doc_id < 240 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert len(test) > 20 and all(r.predicted == (r.doc_id % 4 == 0) for r in test)
@@ -69,21 +79,81 @@ def test_toxicity(spark, corpus):
     assert all(r.score == 0 for r in rows if r.doc_id in (900, 901, 902))
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
     none = toxicity.fit(docs, labels.limit(0))
-    assert toxicity.score_documents(docs, none).where("score > 0.01").count() == 0
+    assert toxicity.score_documents(docs, none).where("score_ > 0.01").count() == 0
 
 
 def test_noisy_or_is_that():
     model = toxicity.ToxicityModel({"bad": 4.0, "^bad": 1.0}, -4.0)
     score, predicted, spans = toxicity.Scorer(model)(["Fine. A bad one! badly, too. İ bad", None, "x" * 100_000])
-    p = 1 / (1 + np.exp(-np.array([1.0, -3.0, 1.0])))
+    p = 1 / (1 + np.exp(-np.array([-4.0, 1.0, -3.0, 1.0])))
     assert abs(score[0] - (1 - np.prod(1 - p))) < 1e-9 and list(predicted) == [1, 0, 0]
     assert [("Fine. A bad one! badly, too. İ bad")[s["start"] : s["end"]] for s in spans[0]] == ["A bad one", "İ bad"]
 
 
+def plain_sentences(text):
+    """Words of each sentence of a text."""
+    parts = re.split(r"[.!?。！？…؟।\n]", text.lower())
+    return [w for w in (re.findall(r"[^\W\d_]+", p) for p in parts) if w]
+
+
+def test_toxicity_score_is_the_noisy_or_of_every_sentence(corpus):
+    r = random.Random(8)
+    weights = {f: r.uniform(-2, 3) for w in LEXICON["en"] + ["idiotic", "thing"] for f in toxicity.word_features(w)}
+    texts = [t[1] for t in corpus[:60]] + ["the house " * 500 + "idiotic", "\n".join(prose("en", 40, i) for i in range(300)), "", "123"]
+    scores, _, spans = toxicity.Scorer(toxicity.ToxicityModel(weights, -6.0))(texts)
+    for text, score, found in zip(texts, scores, spans, strict=True):
+        p = [1 / (1 + np.exp(-np.clip(sum(weights.get(f, 0) for w in s for f in toxicity.word_features(w)) - 6.0, -30, 30))) for s in plain_sentences(text)]
+        assert abs(score - (1 - np.prod([1 - min(x, 1 - 1e-12) for x in p]))) < 1e-9 and len(found) == sum(x >= 0.5 for x in p)
+
+
+def test_toxicity_learns_from_whole_texts(spark, corpus):
+    docs, labels = tables(spark, corpus)
+    sample = common.labelled_texts(docs, labels, "toxic", learn=F.lit(True), per_class=40, max_rows=80)
+    sample = common.materialize(sample.select(F.col("label").cast("int").alias("label"), "text"), "test-sample")
+    rows = sample.collect()
+    assert {r.label for r in rows} == {0, 1} and 20 < len(rows) <= 80
+    got = {r.feature: (r.toxic, r.clean) for r in toxicity.feature_counts(sample).collect()}
+    want = {}
+    for r in rows:
+        for f in {f for s in plain_sentences(r.text) for w in s for f in toxicity.word_features(w)}:
+            old = want.get(f, (0, 0))
+            want[f] = (old[0] + (r.label == 1), old[1] + (r.label == 0))
+    assert got == want
+    kept = ["idiotic", "^mor", "thing", "tree"]
+    bags = toxicity.bags(sample, kept)
+    plain = Counter()
+    for r in rows:
+        found = [sorted(kept.index(f) for w in s for f in toxicity.word_features(w) if f in kept) for s in plain_sentences(r.text)]
+        plain[r.label, sum(not f for f in found), tuple(tuple(f) for f in found if f)] += 1
+    mine = Counter()
+    for i in range(len(rows)):
+        of = [tuple(sorted(bags.features[bags.sentence == s].tolist())) for s in np.flatnonzero(bags.doc == i)]
+        mine[int(bags.labels[i]), int(bags.background[i]), tuple(of)] += 1
+    assert mine == plain
+    # what stands at the end of a very long labelled text counts
+    long = spark.createDataFrame([(1000 + i, "water house tree " * 8000 + ". dreadfulness.", "en", None, 0) for i in range(12)], DOCS)
+    more = labels.unionByName(spark.createDataFrame([(1000 + i, 1, 1) for i in range(12)], labels.schema))
+    model = toxicity.fit(docs.unionByName(long), more)
+    assert toxicity.Scorer(model)(["the house is dreadfulness"])[0][0] > toxicity.Scorer(toxicity.fit(docs, labels))(["the house is dreadfulness"])[0][0] + 0.3
+
+
+def test_language_and_quality_learn_from_whole_texts(spark):
+    rows = [(i, "x " * 30_000 + ("zug baum haus " if i % 2 else "casa agua luz ") * 200, ("de", "es")[1 - i % 2]) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert langid.Identifier(model)(["haus baum", "agua casa"])[0] == ["de", "es"]
+    plain = {lang: sum((Counter(common.ngram_buckets(langid.letters(t), n, langid.BITS).tolist()) for _, t, x in rows if x == lang for n in langid.ORDERS), Counter()) for lang in ("de", "es")}
+    counted = langid.bucket_counts(docs.select(F.col("lang").alias("label"), "text")).collect()
+    assert {(r.label, r.bucket): r.n for r in counted} == {(x, b): n for x in plain for b, n in plain[x].items()} | {("de", -1): 4, ("es", -1): 4}
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS quality")
+    voter = quality.Voter(quality.fit(docs, labels))
+    assert voter([rows[0][1], rows[1][1]])[1].tolist() == [0, 1]
+
+
 def test_quality(spark, corpus):
     docs, labels = tables(spark, corpus)
     model = quality.fit(docs, labels, learn=common.fold("doc_id", 3) != 1)
-    rows = quality.score_documents(docs, model).collect()
+    rows = own_score(quality.score_documents(docs, model)).collect()
     test = [r for r in rows if r.doc_id is not None and r.doc_id < 240 and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
     assert all(r.predicted == (r.doc_id % 5 != 0) for r in test) and len(rows) == len(corpus) + len(ODD) + 1
     assert {r.score for r in rows if r.doc_id in (900, 901)} == {model.prior}
@@ -96,13 +166,13 @@ def test_quality(spark, corpus):
         near = sims >= np.sort(sims)[-model.neighbours] - 1e-6
         weight = np.maximum(sims, 1e-6) ** 4 * near
         assert abs(score - (weight * model.labels).sum() / weight.sum()) < 1e-3
-    assert quality.score_documents(docs, quality.fit(docs, labels.limit(0))).where("score = 0.5").count() == len(rows)
+    assert quality.score_documents(docs, quality.fit(docs, labels.limit(0))).where("score_ = 0.5").count() == len(rows)
 
 
 def test_language(spark, corpus):
     docs, _ = tables(spark, corpus)
     model = langid.fit(docs.where("doc_id < 240"), learn=common.fold("doc_id", 5) != 0)
-    rows = langid.identify(docs, model).collect()
+    rows = own_score(langid.identify(docs, model)).collect()
     assert all(r.lang_pred == r.lang for r in rows if r.doc_id is not None and r.doc_id < 240)
     assert {(r.lang_pred, r.score) for r in rows if r.doc_id in (900, 901, 902)} == {("und", 0.0)}
     # brute force: each n-gram on its own
@@ -131,12 +201,12 @@ def test_bpe_is_tiktoken(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*texts[:50], None, texts[0]])], "doc_id int, text string, n_tokens int")
     for row in bpe.round_trip(docs).collect():
         ids = theirs.encode_ordinary(row.text or "")
-        assert row.n_tokens == len(ids) and row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert (row.n_tokens, row.n_tokens_) == (1, len(ids)) and row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
     back = bpe.decode_documents(bpe.encode_documents(docs)).collect()
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in back)
     assert bpe.round_trip(docs.limit(0)).count() == 0
-    assert bpe.token_share(bpe.round_trip(docs), "doc_id").count() == 52
+    assert bpe.token_share(bpe.round_trip(docs.drop("n_tokens")), "doc_id").count() == 52
 
 
 TURN = "conv_id long, turn long, role string, text string, extra int"
@@ -178,11 +248,20 @@ def test_urls(spark):
         ("ftp://q.org/fr/x", "q.org", "/fr/x", "org/fr/", "allow"), ("http://net", "net", "", None, None), ("no scheme", "", "", None, None),
         (None, "", "", None, None), ("a://b?x://c/", "b", "", None, None), ("http://É.NET/\nx", "É.net", "/\nx", "net/", "block"),
     ]
+    long = "http://long.example.com/" + "abc/" * 50_000
+    cases += [(long, "long.example.com", long[23:], None, None), cases[0]]
     df = spark.createDataFrame([(i, c[0], "old") for i, c in enumerate(cases)], "page_id int, url string, host string")
-    got = {r.page_id: r for r in urls.filter_urls(df).collect()}
-    for i, (_, host, path, rule, verdict) in enumerate(cases):
+    rows = urls.filter_urls(df).collect()
+    assert len(rows) == len(cases)
+    got = {r.page_id: r for r in rows}
+    model = urls.train(urls.LABELLED_URLS)
+    for i, (url, host, path, rule, verdict) in enumerate(cases):
         r = got[i]
-        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert (r.host, r.host_, r.path, r.rule) == ("old", host, path, rule)
+        marked = f"\x01{host}\x02{path}\x03"  # brute force: n-gram by n-gram
+        grams = [common.ngram_buckets(common.code_points(marked[j : j + n]), n, urls.BITS)[0] for n in urls.ORDERS for j in range(len(marked) - n + 1)]
+        logit = sum(model.weights[g] for g in grams) / max(1, len(grams)) ** 0.5 + model.bias
+        assert abs(r.score - 1 / (1 + np.exp(-logit))) < 1e-9
         assert r.verdict == (verdict or ("block" if r.score >= 0.5 else "allow"))
     judge = urls.Judge(urls.train(urls.LABELLED_URLS))
     scores, _ = judge([u for u, _ in urls.LABELLED_URLS])

@@ -5,8 +5,9 @@ rank, identity normalisation and no escaping of white space. Sentencepiece then
 which is the order of ranks. Texts are split by the vocabulary's pattern, each pre-token is encoded by itself (a
 pre-token that is a token is that token, as in the tiktoken library), and ids decode by the inverse mapping.
 
-Defined results: a null or empty text has no ids; texts of any length are encoded whole; repeated rows get equal
-results; an empty table gives an empty result.
+Defined results: a null or empty text has no ids; texts of any length are encoded whole; of two merges that tie the left
+one comes first, as in the tiktoken library; repeated rows get equal results; a column of the input named like an output
+stays, and the output's name gets an underscore (``n_tokens_``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, blocks
+from utterframe.llm.common import append_columns, blocks, bounded_batches, free_name
 
 #: Byte b stands for the character with this code point: printable, and no white space.
 BYTE_TABLE = {b: chr(0x100 + b) for b in range(256)}
@@ -168,16 +169,17 @@ def decode_documents(df: DataFrame, ids_col: str = "ids", vocabulary: str = "byt
     """Adds decoded (binary): the bytes of the ids."""
     from pyspark.sql import types as T
 
-    base = df.drop("decoded")
-    schema = T.StructType([*base.schema.fields, T.StructField("decoded", T.BinaryType())])
+    bounded_batches(df.sparkSession)
+    name = free_name("decoded", df.columns)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         for batch in batches:
             decoded = [bpe.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, name])
 
-    return base.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def round_trip(df: DataFrame, text_col: str = "text", vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:

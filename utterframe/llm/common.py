@@ -15,6 +15,8 @@ from utterframe.session import ensure_importable
 
 #: Characters of text that one numpy block holds at most, unless a single text is longer.
 BLOCK_CHARS = 1_000_000
+#: Tasks that read a labelled sample.
+SAMPLE_TASKS = 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +43,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage by a table in the shared folder, which outlives a lost executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``materialize`` wrote, once no result depends on them any more."""
+    for df in tables:
+        if path := getattr(df, "_scratch_path", None):
+            session = df.sparkSession
+            at = session._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(session._jsc.sc().hadoopConfiguration()).delete(at, True)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -61,28 +74,29 @@ def held_out(key: str, n: int, remainder: int) -> Column:
 
 
 def class_sample(keyed: DataFrame, label: str, key: str, per_class: int, max_rows: int) -> DataFrame:
-    """At most ``per_class`` keys of each label and ``max_rows`` in all, chosen by a hash of the key.
+    """At most ``per_class`` keys of each label and ``max_rows`` in all: those with the least hashes.
 
-    Two ranking steps, the first over (label, salt): Spark keeps only the best rows of each task before each
-    shuffle, so that a label with most of the rows meets no single task in full.
+    A first cut by hash, from each label's count, lets about a quarter more than wanted through (four standard deviations
+    and more), so that the ranking meets a bounded number of rows whatever the label's share. Labels beyond the
+    ``max_rows`` commonest take no part.
     """
-    order = [F.xxhash64(F.col(key)), F.col(key)]
-    salted = keyed.select(key, label).withColumn("__salt", F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(64)))
-    first = salted.withColumn("__r", F.row_number().over(Window.partitionBy(label, "__salt").orderBy(*order)))
-    first = first.where(F.col("__r") <= per_class).drop("__r", "__salt")
-    ranked = first.withColumn("__r", F.row_number().over(Window.partitionBy(label).orderBy(*order)))
-    ranked = ranked.where(F.col("__r") <= per_class)
-    return ranked.orderBy("__r", *order).limit(max_rows).select(key, label)
+    place = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11)
+    counts = keyed.groupBy(label).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), label).limit(max_rows)
+    near = keyed.select(key, label).join(F.broadcast(counts), label).where(place / F.lit(2.0**53) * F.col("__n") < 1.25 * per_class + 20)
+    first = Window.partitionBy(label).orderBy(place, key)
+    ranked = near.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= per_class)
+    return ranked.orderBy("__r", place, key).limit(max_rows).select(key, label)
 
 
 def labelled_texts(
     docs: DataFrame, labels: DataFrame, label: str, *, id_col: str = "doc_id", text_col: str = "text",
-    learn: Column, per_class: int, max_rows: int, max_chars: int,
-) -> list[tuple[str, object]]:
-    """(text, label) pairs of a bounded sample: rows by ``class_sample``, each text of at most ``max_chars``.
+    learn: Column, per_class: int, max_rows: int,
+) -> DataFrame:
+    """label and text of a bounded sample of rows by ``class_sample``: whole texts, whatever their length.
 
     Rows that ``learn`` refuses, null ids and null labels take no part; where an id has several labels the largest
-    counts, where it has several texts one of them, by their order.
+    counts, where it has several texts the least of them. Texts stay on the executors: what is learned from them is
+    counted there.
     """
     known = (
         labels.where(learn & F.col(id_col).isNotNull() & F.col(label).isNotNull())
@@ -90,14 +104,18 @@ def labelled_texts(
     )
     chosen = class_sample(known, label, id_col, per_class, max_rows)  # bounded by max_rows: safe to broadcast
     texts = (
-        docs.select(F.col(id_col), F.col(text_col).alias("__text"))
-        .where(F.col("__text").isNotNull() & (F.length("__text") <= max_chars))
+        docs.select(F.col(id_col), F.col(text_col).alias("__text")).where(F.col("__text").isNotNull())
         .join(F.broadcast(chosen), id_col)
         .groupBy(id_col, label).agg(F.min("__text").alias("__text"))
     )
-    rows = texts.toPandas()
-    rows = rows.sort_values(id_col)
-    return list(zip(rows["__text"].tolist(), rows[label].tolist(), strict=True))
+    return texts.select(F.col(label).cast("string").alias("label"), F.col("__text").alias("text")).repartition(SAMPLE_TASKS)
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores appended until no column bears it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
 
 
 def append_columns(
@@ -107,28 +125,26 @@ def append_columns(
     """``df`` with the columns ``fields`` (name, DDL type) computed from ``text_col``; every row stays.
 
     ``start`` runs once in each task and gives the function from a list of texts to one list or array per field.
-    Columns of ``df`` that bear an output's name are replaced.
+    Columns of ``df`` stay as they are: an output whose name is taken gets ``free_name``.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
     bounded_batches(df.sparkSession)
-    names = [name for name, _ in fields]
-    given = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names or c == text_col])
-    kept = [c for c in given.columns if c not in names]
-    added = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    schema = T.StructType([*(f for f in given.schema.fields if f.name in kept), *added.fields])
+    added = T.StructType([T.StructField(free_name(n, df.columns), T._parse_datatype_string(t)) for n, t in fields])
     types = [to_arrow_type(f.dataType) for f in added.fields]
+    names = [*df.columns, *added.names]
+    at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
             work = work or start()
-            got = work(batch.column(text_col).to_pylist())
+            got = work(batch.column(at).to_pylist())
             new = [pa.array(v, type=t, from_pandas=False) for v, t in zip(got, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names=[*kept, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
-    return given.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
 
 
 def blocks(texts: list[str | None], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:

@@ -3,19 +3,26 @@
 Texts are lower-cased and every run of non-letters becomes one boundary mark. The model is a fixed-size matrix of
 log-probabilities (buckets x languages), broadcast and looked up for the n-grams of a batch of texts in numpy.
 
-Defined results: a null text or one without a letter is ``und`` with score 0; ties go to the first language by name;
-repeated rows get equal results; an empty table gives an empty result; with no labelled row all is ``und``.
+Learning reads whole texts of a bounded number of rows and adds up their n-grams on the executors; the driver gets one
+count for each bucket and language.
+
+Defined results: a null text or one without a letter is ``und`` with score 0; texts of any length are read whole; ties
+go to the first language by name; repeated rows get equal results; a column of the input named like an output stays, and
+the output is called ``lang_pred_`` or ``score_``; an empty table gives an empty result; with no labelled row all is
+``und``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, blocks, code_points, is_letter, labelled_texts, ngram_buckets
+from utterframe.llm.common import append_columns, blocks, bounded_batches, code_points, is_letter, labelled_texts, ngram_buckets
 
 ORDERS = (2, 3, 4)
 BITS = 16
@@ -41,13 +48,40 @@ def letters(text: str) -> np.ndarray:
     return out[keep]
 
 
-def train(examples: list[tuple[str, object]], smoothing: float = 0.5) -> LanguageModel:
-    languages = sorted({str(lang) for _, lang in examples})
+def bucket_counts(sample: DataFrame) -> DataFrame:
+    """label, bucket, n: how often each hashed n-gram stands in the texts of each language; one row a text for bucket -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                mine = counts.setdefault(label, np.zeros((1 << BITS) + 1, dtype=np.int64))
+                codes = letters(text)
+                for n in ORDERS:
+                    mine[:-1] += np.bincount(ngram_buckets(codes, n, BITS), minlength=1 << BITS)
+                mine[-1] += 1
+            if len(counts) >= 64:
+                yield from flush(counts)
+        yield from flush(counts)
+
+    def flush(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for label, mine in counts.items():
+            at = np.flatnonzero(mine)
+            bucket = np.where(at == 1 << BITS, -1, at)
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(at), pa.string()), pa.array(bucket, pa.int32()), pa.array(mine[at], pa.int64())], names=["label", "bucket", "n"])
+        counts.clear()
+
+    found = sample.mapInArrow(run, "label string, bucket int, n long")
+    return found.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+
+
+def train(counted: DataFrame, smoothing: float = 0.5) -> LanguageModel:
+    """From label, bucket and n: at most (2**BITS + 1) rows a language, as many numbers as the model has."""
+    rows = counted.toPandas()
+    languages = sorted(set(rows["label"]))
     counts = np.zeros((len(languages), 1 << BITS))
-    for text, lang in examples:
-        codes = letters(text)
-        for n in ORDERS:
-            counts[languages.index(str(lang))] += np.bincount(ngram_buckets(codes, n, BITS), minlength=1 << BITS)
+    rows = rows[rows["bucket"] >= 0]
+    counts[np.searchsorted(np.array(languages, dtype=object), rows["label"].to_numpy()) if len(rows) else [], rows["bucket"]] = rows["n"]
     counts += smoothing
     log_prob = np.log(counts / counts.sum(axis=1, keepdims=True))
     return LanguageModel(languages, np.ascontiguousarray(log_prob.T, dtype=np.float32))
@@ -89,11 +123,12 @@ def identify(df: DataFrame, model: LanguageModel, text_col: str = "text") -> Dat
 
 
 def fit(
-    docs: DataFrame, *, learn: Column | None = None, lang_col: str = "lang", per_class: int = 400,
-    max_rows: int = 8000, max_chars: int = 20_000,
+    docs: DataFrame, *, learn: Column | None = None, id_col: str = "doc_id", lang_col: str = "lang", per_class: int = 400, max_rows: int = 8000
 ) -> LanguageModel:
-    """Trains on at most ``per_class`` documents a language (``max_rows`` in all) of at most ``max_chars`` each."""
-    return train(labelled_texts(
-        docs, docs.select("doc_id", lang_col), lang_col, learn=F.lit(True) if learn is None else learn,
-        per_class=per_class, max_rows=max_rows, max_chars=max_chars,
-    ))
+    """Trains on the whole texts of at most ``per_class`` documents a language (``max_rows`` in all)."""
+    bounded_batches(docs.sparkSession)
+    learn = F.lit(True) if learn is None else learn
+    sample = labelled_texts(
+        docs, docs.select(id_col, lang_col), lang_col, id_col=id_col, learn=learn, per_class=per_class, max_rows=max_rows
+    )
+    return train(bucket_counts(sample))

@@ -5,21 +5,28 @@ document frequency and projected on the leading singular directions of the label
 with all labelled vectors by exact cosine products in blocks, and its nearest labelled neighbours vote, weighted by
 similarity.
 
-Defined results: a null or empty text has no direction and gets the labels' mean; neighbours tied with the last one
-all vote; an empty table gives an empty result; with no labelled row every score is 0.5.
+Learning reads whole texts of a bounded number of labelled rows and counts their features on the executors; the driver
+gets the counts.
+
+Defined results: a null or empty text has no direction and gets the labels' mean; texts of any length are counted whole;
+neighbours tied with the last one all vote; repeated rows score alike; a column of the input named like an output stays,
+and the output is called ``score_`` or ``predicted_``; an empty table gives an empty result; with no labelled row every
+score is 0.5.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, labelled_texts
+from utterframe.llm.common import append_columns, bounded_batches, labelled_texts
 
 WORDS, SHAPES = 2048, 1024
 #: Words, shapes, pairs of shapes, repetitions of the last word and of the one before it.
@@ -71,15 +78,33 @@ def count_features(texts: list[str | None], tokens: dict[str, int]) -> np.ndarra
     return out
 
 
-def train(examples: list[tuple[str, object]], *, rank: int = 48, neighbours: int = 15) -> QualityModel:
-    examples = [(text, int(label)) for text, label in examples if text.split()]
-    labels = np.array([label for _, label in examples], dtype=np.float32)
-    if not examples:
+def sample_features(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features and label of each sampled text that has a token; the texts are counted on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _Tokens()
+        for batch in batches:
+            x = count_features(batch.column("text").to_pylist(), tokens)
+            at = [np.flatnonzero(row) for row in x]
+            found = [pa.array([a.tolist() for a in at], pa.list_(pa.int32())), pa.array([row[a].tolist() for row, a in zip(x, at, strict=True)], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), *found], names=["label", "at", "value"])
+
+    got = sample.mapInArrow(run, "label int, at array<int>, value array<float>").where(F.size("at") > 0).toArrow()
+    x = np.zeros((len(got), DIMS), dtype=np.float32)
+    flat = lambda c: got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    if len(got):
+        x[np.repeat(np.arange(len(got)), got.column("at").combine_chunks().value_lengths().to_numpy()), flat("at")] = flat("value")
+    # the same rows in the same order, whatever the order of tasks
+    labels = got.column("label").to_numpy().astype(np.float32)
+    order = np.lexsort((*x[:, :: DIMS // 60].T, x.sum(axis=1), labels))
+    return x[order], labels[order]
+
+
+def train(x: np.ndarray, labels: np.ndarray, *, rank: int = 48, neighbours: int = 15) -> QualityModel:
+    if not len(x):
         return QualityModel(np.zeros((DIMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5, neighbours)
-    tokens = _Tokens()
-    x = count_features([text for text, _ in examples], tokens)
     idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 0.2
-    x *= idf.astype(np.float32)
+    x = x * idf.astype(np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     # leading eigenvectors of the smaller Gram matrix are the singular directions
     rank = min(rank, len(x), DIMS)
@@ -121,12 +146,8 @@ def score_documents(df: DataFrame, model: QualityModel, text_col: str = "text")
     return append_columns(df, [("score", "double"), ("predicted", "int")], text_col, lambda: Voter(shared.value))
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, label: str = "quality",
-    per_class: int = 1500, max_chars: int = 20_000,
-) -> QualityModel:
-    """Learns from at most ``per_class`` documents of each label, of at most ``max_chars`` characters each."""
-    return train(labelled_texts(
-        docs, labels, label, learn=F.lit(True) if learn is None else learn,
-        per_class=per_class, max_rows=2 * per_class, max_chars=max_chars,
-    ))
+def fit(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, label: str = "quality", per_class: int = 1500) -> QualityModel:
+    """Learns from the whole texts of at most ``per_class`` documents of each label."""
+    bounded_batches(docs.sparkSession)
+    learn = F.lit(True) if learn is None else learn
+    return train(*sample_features(labelled_texts(docs, labels, label, learn=learn, per_class=per_class, max_rows=2 * per_class)))

@@ -59,7 +59,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+    return urls.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,38 @@ _TURNS = """
 """
 _ESCAPED = "replace(replace(replace({}, '\\', '\\\\'), '#', '\\#'), '</turn>', '<\\/turn>')"
 
+def url_sql() -> str:
+    """Splitting, rules and the model's score (each n-gram's hash and weight) in SQL; the weights are the trained ones."""
+    model = urls.train(urls.LABELLED_URLS)
+    used = model.weights.nonzero()[0]
+    mod, factor = 1 << 64, 0x9E3779B97F4A7C15
+    fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    ranked = sorted(urls.DEFAULT_RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
+    case = lambda pick: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{pick(v, h + p)}'" for v, h, p in ranked) + " END"
+    steps = ", ".join(
+        f"CASE WHEN n < {i} THEN h{i - 1} ELSE ((h{i - 1} + c{i}) % {mod}::UHUGEINT * {factor}::UHUGEINT) % {mod}::UHUGEINT END AS m{i}, "
+        f"CASE WHEN n < {i} THEN h{i - 1} ELSE xor(m{i}, m{i} // {1 << 29}::UHUGEINT) END AS h{i}" for i in range(1, 6)
+    )
+    codes = ", ".join(f"lead(c1, {i - 1}) OVER w AS c{i}" for i in range(2, 6))
+    return f"""
+        WITH p AS (SELECT page_id, coalesce(url, '') AS url, row_number() OVER () AS k FROM pages),
+        s AS (SELECT k, page_id, contains(url, '://') AS has, regexp_extract(url, '^.*?://([^/?#]*)', 1, 's') AS h, regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM p),
+        d AS (SELECT k, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM s),
+        t AS (SELECT k, chr(1) || host || chr(2) || path || chr(3) AS marked FROM d),
+        i AS (SELECT k, marked, unnest(range(1, length(marked) + 1)) AS i FROM t),
+        c AS (SELECT k, i, unicode(substr(marked, i, 1))::UHUGEINT AS c1 FROM i),
+        l AS (SELECT *, {codes} FROM c WINDOW w AS (PARTITION BY k ORDER BY i)),
+        g AS (SELECT k, n, (n * {0x9E3779B1})::UHUGEINT AS h0, c1, c2, c3, c4, c5 FROM l, (VALUES (3), (4), (5)) AS o(n)
+              WHERE c3 IS NOT NULL AND (n < 4 OR c4 IS NOT NULL) AND (n < 5 OR c5 IS NOT NULL)),
+        b AS (SELECT k, {steps} FROM g),
+        w AS (SELECT unnest({used.tolist()}) AS bucket, unnest({model.weights[used].tolist()}) AS weight),
+        z AS (SELECT k, sum(coalesce(weight, 0)) / sqrt(count(*)) + {model.bias!r} AS logit FROM b LEFT JOIN w ON bucket = (h5 // {1 << (64 - urls.BITS)}::UHUGEINT)::BIGINT GROUP BY k)
+        SELECT page_id, host, path, {case(lambda v, r: r)} AS rule,
+            coalesce({case(lambda v, r: v)}, CASE WHEN coalesce(logit, {model.bias!r}) >= 0 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM d LEFT JOIN z USING (k)
+    """
+
+
 ORACLE_SQL = {
     "op4_chat_format": f"""
         WITH t AS ({_TURNS}), o AS (
@@ -107,4 +139,5 @@ ORACLE_SQL = {
             CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
         FROM m
     """,
+    "op8_url_filter": url_sql(),
 }

@@ -1,8 +1,9 @@
 """URL filtering: explicit rules first, then logistic regression on hashed character n-grams of host and path.
 
-Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and is judged by the model; of
-rules of one length that fit, the first by its text wins; repeated rows get equal results; an empty table gives an
-empty result.
+Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and is judged by the model; URLs
+of any length are read whole; of rules of one length that fit, the first by its text wins; repeated rows get equal
+results; a column of the input named like an output stays, and the output's name gets an underscore (``host_``); an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, code_points, ngram_buckets
+from utterframe.llm.common import append_columns, blocks, code_points, free_name, ngram_buckets
 
 BITS = 14
 ORDERS = (3, 4, 5)
@@ -79,54 +80,74 @@ class UrlModel:
     bias: float
 
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def split_url(url: str | None) -> str:
     """Host and path, marked, as the n-grams see them."""
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
-    return f"\x01{m[1].lower()}\x02{m[2]}\x03" if m else "\x01\x02\x03"
+    return f"\x01{m[1].translate(LOWER)}\x02{m[2]}\x03" if m else "\x01\x02\x03"
 
 
-def buckets(url: str | None) -> np.ndarray:
-    codes = code_points(split_url(url))
-    return np.concatenate([ngram_buckets(codes, n, BITS) for n in ORDERS])
+def features(urls: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The URL's place and the bucket of each n-gram of each URL."""
+    marked = [split_url(u) for u in urls]
+    codes = code_points("".join(marked))
+    ends = np.cumsum([len(m) for m in marked])
+    rows, found = [], []
+    for n in ORDERS:
+        bucket = ngram_buckets(codes, n, BITS)
+        at = np.arange(len(bucket))
+        row = np.searchsorted(ends, at, side="right")
+        inside = at + n <= ends[row] if len(at) else np.zeros(0, dtype=bool)
+        rows.append(row[inside])
+        found.append(bucket[inside])
+    return np.concatenate(rows), np.concatenate(found)
 
 
 def train(examples, *, rounds: int = 300, rate: float = 2.0, l2: float = 1e-3) -> UrlModel:
     """Gradient descent on the logistic loss; a URL's n-grams share a weight of 1."""
     examples = [(url, label) for url, label in examples if label is not None]
+    weights, bias = np.zeros(1 << BITS), 0.0
     if not examples:
-        return UrlModel(np.zeros(1 << BITS), -1.0)
-    x = np.zeros((len(examples), 1 << BITS))
-    for row, (url, _) in zip(x, examples, strict=True):
-        found = buckets(url)
-        np.add.at(row, found, 1 / np.sqrt(max(1, len(found))))
+        return UrlModel(weights, -1.0)
+    row, found = features([url for url, _ in examples])
+    used, place = np.unique(found, return_inverse=True)
+    x = np.zeros((len(examples), len(used)))
+    np.add.at(x, (row, place), 1.0)
+    x /= np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True)))
     y = np.array([float(label) for _, label in examples])
-    w, bias = np.zeros(1 << BITS), 0.0
+    w = np.zeros(len(used))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-(x @ w + bias)))
         w -= rate * (x.T @ (p - y) / len(y) + l2 * w)
         bias -= rate * float((p - y).mean())
-    return UrlModel(w, bias)
+    weights[used] = w
+    return UrlModel(weights, bias)
 
 
 class Judge:
     def __init__(self, model: UrlModel):
         self.model = model
 
-    def __call__(self, urls: list[str | None]) -> tuple[list[float], list[str]]:
-        scores = []
-        for url in urls:
-            found = buckets(url)
-            logit = self.model.weights[found].sum() / np.sqrt(max(1, len(found))) + self.model.bias
-            scores.append(float(1 / (1 + np.exp(-logit))))
+    def __call__(self, urls: list[str | None]) -> tuple[np.ndarray, list[str]]:
+        scores = np.empty(len(urls))
+        for lo, hi in blocks(urls):
+            row, found = features(urls[lo:hi])
+            sums = np.bincount(row, self.model.weights[found], minlength=hi - lo)
+            logit = sums / np.sqrt(np.maximum(1, np.bincount(row, minlength=hi - lo))) + self.model.bias
+            scores[lo:hi] = 1 / (1 + np.exp(-logit))
         return scores, ["block" if s >= 0.5 else "allow" for s in scores]
 
 
 def filter_urls(df: DataFrame, *, url_col: str = "url", rules=DEFAULT_RULES, labelled=LABELLED_URLS) -> DataFrame:
     """Adds host, path, rule, score (of the model) and verdict (the rule's, else the model's)."""
     shared = df.sparkSession.sparkContext.broadcast(train(labelled))  # 2**BITS numbers
-    judged = append_columns(df.drop("host", "path", "rule", "verdict"), [("score", "double"), ("__judged", "string")], url_col, lambda: Judge(shared.value))
-    split = judged.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    found = split.withColumn("__rule", matching_rule(F.col("host"), F.col("path"), rules))
-    return found.withColumns({
-        "rule": F.col("__rule.rule"), "verdict": F.coalesce(F.col("__rule.verdict"), F.col("__judged")),
-    }).drop("__rule", "__judged")
+    taken = list(df.columns)
+    host, path, rule, verdict = (free_name(n, taken) for n in ("host", "path", "rule", "verdict"))
+    judged = append_columns(df, [("score", "double"), ("__judged", "string")], url_col, lambda: Judge(shared.value))
+    score = judged.columns[-2]
+    split = judged.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
+    found = split.withColumn("__rule", matching_rule(F.col(host), F.col(path), rules))
+    out = found.withColumns({rule: F.col("__rule.rule"), verdict: F.coalesce(F.col("__rule.verdict"), F.col("__judged"))})
+    return out.select(*df.columns, host, path, rule, score, verdict)
