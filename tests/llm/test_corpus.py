@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -89,35 +90,66 @@ def test_template_tokens():
 
 def test_archive(spark):
     big, other = "é" * 700, "x" * 2000
-    rows = [(1, "http://a/\r\nb%20", big, 1), (5, None, big, 1), (3, "http://c", big, 1), (4, "u", "small", 1), (6, "u", "small", 1), (7, "v", None, 1),
-            (8, "w", "", 1), (9, "w", other, 1), (9, "w", other, 1), (2, "w", other, 1), (None, "n", other, 1)]
+    rows = [(1, "http://a/\r\nb%20", big, 1), (5, None, big, 1), (3, "http://c/x%20y?q=%7E", big, 1), (4, "u", "small", 1), (6, "u", "small", 1), (7, "v", None, 1),
+            (8, "w", "", 1), (9, "w", other, 1), (9, "w", other, 1), (2, " é ", other, 1), (None, "n", other, 1), (10, "urn:x-page:10", "z" * 3000, 1),
+            (11, "", "only" * 500, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
     path, index = warc.archive(pages)
     got = warc.read_records(index).collect()
     assert len(got) == len(rows)
     last = {big: 5, other: 9}
-    for page, _, html, _ in rows:
+    for page, url, html, _ in rows:
         body = (html or "").encode()
         mine = [r for r in got if r.page_id == (None if page is None else str(page))]
         again = html in last and page != last[html]
         assert mine and all(
-            (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
-            == (len(body), hashlib.sha1(body).hexdigest(), "revisit" if again else "response", str(last[html]) if again else None) for r in mine
+            (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.url)
+            == (len(body), hashlib.sha1(body).hexdigest(), "revisit" if again else "response", str(last[html]) if again else None, url) for r in mine
         )
         assert all(again or bytes(r.payload) == body for r in mine)
-    urls = {r.page_id: r.url for r in got}
-    assert urls["1"] == rows[0][1] and urls["5"] is None
-    # any gzip reader reads the files, padding included
+        assert {r.url for r in index.where(F.col("page_id").eqNullSafe(F.lit(None if page is None else str(page)))).collect()} == {url}
+        if url is not None:  # the index finds a record by its original URL
+            assert page in {None if r.page_id is None else int(r.page_id) for r in warc.read_records(index.where(F.col("url") == url)).collect()}
+    assert warc.read_records(index, payloads=False).where("payload is not null").count() == 0
+    # plain members end to end: any gzip reader reads the files, and no byte lies between
     import gzip
 
-    raw = b"".join(gzip.decompress(p.read_bytes()) for p in Path(path.removeprefix("file:")).glob("part-*"))
-    assert raw.count(b"WARC/1.1\r\n") == len(rows)
+    files = list(Path(path.removeprefix("file:")).glob("*.warc.gz"))
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in files)
+    assert raw.count(b"WARC/1.1\r\n") == len(rows) + len(files) and all(gzip.decompress(p.read_bytes()).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo") for p in files)
+    for p in files:
+        data = p.read_bytes()
+        while data:
+            inflate = zlib.decompressobj(31)
+            inflate.decompress(data)
+            data = inflate.unused_data
+            assert inflate.eof and data[:2] in (b"", b"\x1f\x8b")
     few = warc.read_records(index.where("page_id = '3' or page_id = '7'")).collect()
     assert sorted(r.page_id for r in few) == ["3", "7"]
     none_path, none = warc.archive(pages.limit(0))
     assert none.count() == 0 and warc.read_records(none).count() == 0
 
 
+def test_archive_of_large_and_many_records(spark, monkeypatch):
+    monkeypatch.setattr(warc, "PART_BYTES", 4000)
+    monkeypatch.setattr(warc, "BITMAP_BITS", 6)  # nearly all pages share a bit with a copied one
+    r = random.Random(6)
+    rows = [(i, f"http://h/{i}", "".join(chr(r.randrange(32, 1000)) for _ in range(r.randrange(0, 3000)))) for i in range(200)]
+    rows += [(1000 + i, "u", rows[i % 7][2]) for i in range(60)] + [(2000, "long", "ab" * (9 << 20))]
+    index = warc.archive(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3))[1]
+    read = warc.read_records(index)
+    assert read.rdd.getNumPartitions() > 10
+    best = {}
+    for i, _, html in rows:
+        if len(html.encode()) >= 1000:
+            best[html] = max(i, best.get(html, i))
+    got = {int(x.page_id): (x.record_type, x.refers_to, x.payload_bytes, x.payload) for x in read.collect()}
+    for i, _, html in rows:
+        to = best.get(html, i)
+        assert got[i][:3] == ("response" if to == i else "revisit", None if to == i else str(to), len(html.encode()))
+        assert to != i or bytes(got[i][3]) == html.encode()
+
+
 def test_ranges_are_merged():
     rows = [{"path": "p", "offset": o, "length": 10} for o in (0, 11, 22, 1_000_000)] + [{"path": "q", "offset": 0, "length": 5}]
     assert [(p, o, n, len(g)) for p, o, n, g in warc.coalesced(rows)] == [("p", 0, 32, 3), ("p", 1_000_000, 10, 1), ("q", 0, 5, 1)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -118,6 +118,28 @@ def free_name(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+def bitmap_of(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
+    """A bit for each key by the top ``bits`` bits of a 64-bit hash: 2**bits / 64 numbers, whatever the number of keys."""
+    place = F.shiftrightunsigned(key, 64 - bits)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    rows = keys.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask")).toPandas()
+    out = np.zeros((1 << bits) // 64, dtype=np.uint64)
+    out[rows["word"].to_numpy(dtype=np.int64)] = rows["mask"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out
+
+
+def constants(values: Iterable, kind: str) -> Column:
+    """An array constant, made from one string."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def in_bitmap(key: Column, bitmap: np.ndarray) -> Column:
+    """Whether the bit of a 64-bit hash is set."""
+    place = F.shiftrightunsigned(key, 64 - int(np.log2(len(bitmap) * 64)))
+    word = F.get(constants(bitmap.view(np.int64).tolist(), "bigint"), F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, place.bitwiseAND(63).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
 def append_columns(
     df: DataFrame, fields: Sequence[tuple[str, str]], text_col: str,
     start: Callable[[], Callable[[list[str | None]], Sequence]],

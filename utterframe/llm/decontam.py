@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import blocks, bounded_batches
+from utterframe.llm.common import bitmap_of, blocks, bounded_batches
 
 WINDOW, LITERALS, COVERAGE = 5, 3, 0.6
 BITMAP_BITS = 22
@@ -208,16 +208,6 @@ def windows(
     return given.mapInArrow(run, schema)
 
 
-def bitmap_of(windows: DataFrame) -> np.ndarray:
-    """The bits of the windows' hashes: at most 2**BITMAP_BITS / 64 numbers, whatever the number of windows."""
-    place = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    rows = windows.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask")).toPandas()
-    out = np.zeros((1 << BITMAP_BITS) // 64, dtype=np.uint64)
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["mask"].to_numpy(dtype=np.int64).view(np.uint64)
-    return out
-
-
 def leaks_by_text(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", coverage: float = COVERAGE,
@@ -226,7 +216,7 @@ def leaks_by_text(
     once = benchmark.where(F.col(item_text_col).isNotNull()).dropDuplicates([item_col, item_text_col])
     items = windows(once, item_col, item_text_col, "item_id").withColumnsRenamed({"text_hash": "item_hash", "at": "item_at", "slots": "item_slots"})
     short = {r.width for r in items.where(F.col("width") < WINDOW).select("width").distinct().collect()}  # WINDOW - 1 at most
-    found = windows(docs, id_col, text_col, "doc_id", bitmap_of(items), short).drop("in_template", "n_template", "n_plain", "width")
+    found = windows(docs, id_col, text_col, "doc_id", bitmap_of(items, F.col("hash"), BITMAP_BITS), short).drop("in_template", "n_template", "n_plain", "width")
     joined = found.join(items, ["hash", "plain"]).withColumn("shift", F.col("at") - F.col("item_at"))
     zipped = F.arrays_zip("item_slots", F.coalesce("slots", "item_slots").alias("slots"))
     joined = joined.withColumn("pairs", F.array_distinct(F.filter(zipped, lambda p: p["item_slots"].isNotNull())))

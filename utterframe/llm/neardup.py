@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, blocks, bounded_batches, materialize
+from utterframe.llm.common import append_columns, bitmap_of, blocks, bounded_batches, materialize
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -189,16 +189,6 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
-def bitmap_of(nodes: DataFrame) -> np.ndarray:
-    """A bit for each node by its hash: 2**BITMAP_BITS / 64 numbers, whatever the number of nodes."""
-    place = F.shiftrightunsigned(F.xxhash64("node"), 64 - BITMAP_BITS)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    rows = nodes.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask")).toPandas()
-    out = np.zeros((1 << BITMAP_BITS) // 64, dtype=np.uint64)
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["mask"].to_numpy(dtype=np.int64).view(np.uint64)
-    return out
-
-
 def shingle_sets(docs: DataFrame, text_col: str, members: DataFrame) -> DataFrame:
     """node, set: the sorted distinct shingles (as bytes) of each text whose node is a member.
 
@@ -207,7 +197,7 @@ def shingle_sets(docs: DataFrame, text_col: str, members: DataFrame) -> DataFram
     """
     import xxhash
 
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(members))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(members, F.xxhash64("node"), BITMAP_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lately = _WordHash(), {}

@@ -50,7 +50,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     _, index = warc.archive(pages)
     key = pages.schema["page_id"].dataType
-    records = warc.read_records(index)
+    records = warc.read_records(index, payloads=False)
     return records.select(
         F.col("page_id").cast(key).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(key).alias("refers_to"),
