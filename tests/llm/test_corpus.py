@@ -155,57 +155,106 @@ def test_ranges_are_merged():
     assert [(p, o, n, len(g)) for p, o, n, g in warc.coalesced(rows)] == [("p", 0, 32, 3), ("p", 1_000_000, 10, 1), ("q", 0, 5, 1)]
 
 
-def plain_fingerprint(text, kept):
+def signed(x):
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def plain_terms(text):
     import regex
 
-    h = lambda data, seed=42: xxhash.xxh64_intdigest(data, seed)
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    places = list(dict.fromkeys(signed(h(w.encode())) % (1 << imatch.LEXICON_BITS) for w in regex.split(imatch.SEPARATOR, text.lower()) if w))
-    found = [p for p in places if p in kept] or places
-    if not found:
-        return None
-    out = []
+    return {signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in regex.split(imatch.SEPARATOR, text.lower()) if w}
+
+
+def plain_lexicon(texts):
+    n, df = len(texts), Counter()
+    for t in texts:
+        df.update(plain_terms(t or ""))
+    return {w for w, c in df.items() if c >= 2 and imatch.BAND[0] <= np.log(n / c) <= imatch.BAND[1]}
+
+
+def plain_lists(text, kept):
+    """The sorted terms of a text in the whole lexicon and in each randomised one, seed by seed and level by level."""
+    h = lambda data, seed: xxhash.xxh64_intdigest(data, seed)
+    mine = plain_terms(text)
+    mine = sorted(mine & kept or mine or {signed(h(text.encode(), 42))})
+    out = [mine]
     for seed in range(1, imatch.SEEDS + 1):
-        keys = [h(seed.to_bytes(4, "little"), h(p.to_bytes(4, "little"))) >> 2 for p in found]
-        half = int(2.0 ** np.ceil(np.log2(min(keys) + 1)))
-        state = 42
-        for k in sorted(k for k in keys if k < half):
-            state = h(k.to_bytes(8, "little"), state)
-        out.append(f"{state:016X}")
-    return "".join(out)
+        keys = {t: h(seed.to_bytes(4, "little"), h((t % (1 << 64)).to_bytes(8, "little"), 42)) for t in mine}
+        out += [[t for t in mine if keys[t] >> (64 - 2 * level) == 0] for level in range(1, imatch.LEVELS + 1)]
+    return out
 
 
-def test_fingerprints(spark):
-    texts = [" ".join(words(60, i, 30)) for i in range(40)] + [None, "", "", "!!!", " ".join(words(20_000, 77, 4000))]
-    rows = [(i * 3, t, 1) for i, t in enumerate(texts)] + [(3, texts[1], 1), (3, texts[2], 1), (None, texts[3], 1)]
+def plain_fingerprint(text, kept):
+    def digest(held):
+        state = 42
+        for t in held:
+            state = xxhash.xxh64_intdigest((t % (1 << 64)).to_bytes(8, "little"), state)
+        return state
+
+    whole, *rest = plain_lists(text, kept)
+    return f"{digest(whole):016X}" + "".join(f"{digest(x) >> 32:08X}" if x else "0" * 8 for x in rest)
+
+
+def plain_likeness(a, b, kept):
+    """From the term lists themselves."""
+    x, y = plain_lists(a, kept), plain_lists(b, kept)
+    if x == y:
+        return 1.0
+    at = lambda level: [(x[1 + s * imatch.LEVELS + level], y[1 + s * imatch.LEVELS + level]) for s in range(imatch.SEEDS)]
+    for level, least in [*((n, imatch.SEEDS // 2) for n in range(imatch.LEVELS - 1, -1, -1)), (0, 1)]:
+        held = [(p, q) for p, q in at(level) if p or q]
+        if len(held) >= least:
+            return sum(p == q for p, q in held) / len(held)
+    return float(x[0] == y[0])
+
+
+def test_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "RANGE_ROWS", 4)
+    texts = [" ".join(words(60, i, 30)) for i in range(40)] + [None, "", "", "!!!", " ".join(words(20_000, 77, 4000)), "one", "Quite short, this!"]
+    texts += [" ".join(words(120, 200 + i // 2, 12)[: 120 - i]) for i in range(30)]
+    rows = [(i * 3, t, 1) for i, t in enumerate(texts)] + [(3, texts[1], 1), (3, texts[2], 1), (None, texts[3], 1), (None, texts[7], 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint int")
+    assert len(imatch.range_bounds(df, "doc_id")[0]) > 5
     got = imatch.compare_with_edited(df).collect()
-    assert len(got) == len(rows)
     order = sorted(((-1 if i is None else i, t or "") for i, t, _ in rows))
+    kept = plain_lexicon([t for _, t, _ in rows])
+    assert len(kept) > 20
     want = Counter()
     for k, (i, t) in enumerate(order):
         q, nxt = len(t) // 4, order[(k + 1) % len(order)][1]
-        want[(i, len(t), hashlib.sha256((t[: len(t) - q] + nxt[:q]).encode()).hexdigest())] += 1
-    assert Counter((-1 if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
-    df_of = Counter()
-    for _, t, _ in rows:
-        import regex
-
-        df_of.update({(lambda x: x - (1 << 64) if x >= 1 << 63 else x)(xxhash.xxh64_intdigest(w.encode(), 42)) % (1 << imatch.LEXICON_BITS) for w in regex.split(imatch.SEPARATOR, (t or "").lower()) if w})
-    n = len(rows)
-    kept = {p for p, c in df_of.items() if imatch.BAND[0] <= (np.log(n) - np.log(c)) / np.log(n) <= imatch.BAND[1]}
-    by_id = {r.doc_id: r.fingerprint for r in got if r.doc_id not in (3, None)}
-    for i, t, _ in rows[:40]:
-        if i != 3:
-            assert by_id[i] == plain_fingerprint(t, kept)
+        edited = t[: len(t) - q] + nxt[:q]
+        prints = [plain_fingerprint(x, kept) for x in (t, edited)]
+        near = [round(plain_likeness(t, x, kept), 9) for x in (edited, nxt)]
+        want[(i, len(t), hashlib.sha256(edited.encode()).hexdigest(), *prints, *near)] += 1
+    assert want == Counter(
+        (-1 if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got
+    )
+    by_id = {r.doc_id: r.fingerprint for r in got}
     assert by_id[41 * 3] == by_id[42 * 3] == by_id[40 * 3]
     long = [r for r in got if r.n_chars > 300 and r.doc_id is not None and r.doc_id < 110]
     assert np.mean([r.near_edited for r in long]) > np.mean([r.near_next for r in long])
     assert imatch.compare_with_edited(df.limit(0)).count() == 0
     assert [(r.near_edited, r.near_next) for r in imatch.compare_with_edited(df.limit(1)).collect()][0][1] == 1.0
-    plain = imatch.fingerprints(df.select("doc_id", "text")).where("doc_id = 0").first()
-    assert plain.fingerprint == by_id[0]
+    plain = imatch.fingerprints(df).where("doc_id = 0").first()
+    assert plain.fingerprint == 1 and plain.fingerprint_ == by_id[0]
+
+
+def test_signatures_agree_exactly_where_the_filtered_terms_do(spark):
+    r = random.Random(12)
+    pool = words(90, 5, 40)
+    texts = [" ".join(r.sample(pool, 40)) for _ in range(60)] + [" ".join(pool[:30]), " ".join(pool[29::-1]), " ".join(pool[:29])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [x.fingerprint for x in imatch.fingerprints(df).orderBy("doc_id").collect()]
+    kept = plain_lexicon(texts)
+    lists = [plain_lists(t, kept) for t in texts]
+    cut = lambda f: [f[:16], *(f[i : i + 8] for i in range(16, len(f), 8))]
+    agreed = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            same = [x == y for x, y in zip(cut(got[i]), cut(got[j]), strict=True)]
+            assert same == [x == y for x, y in zip(lists[i], lists[j], strict=True)]
+            agreed += sum(bool(x) and x == y for x, y in zip(lists[i], lists[j], strict=True))
+    assert agreed > 100 and got[60] == got[61]
 
 
 def shingle_set(text):

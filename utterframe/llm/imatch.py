@@ -1,32 +1,44 @@
-"""Document fingerprints by I-Match over several randomised lexicons; DataFrame functions only.
-
-A term is a run of letters and digits, lower-cased and hashed to one of ``2**LEXICON_BITS`` places. The lexicon keeps the
-places whose document frequency lies within a band of normalised inverse document frequency: neither in most documents
-nor in one only. It is a bitmap of fixed size, so that every task can have it at any size of the corpus; where the
-vocabulary outgrows the places, terms share one, and their documents count together.
-
-Each of ``SEEDS`` randomised lexicons is a nested sequence of random halves of the lexicon. A document's signature is the
-hash of its sorted distinct terms in the smallest half that still holds one of them; the fingerprint is all signatures.
-Likeness is the share of seeds whose signatures agree.
-
-Defined results: a null text counts as empty; a text without a term of the lexicon is fingerprinted on all its terms,
-one without terms on its characters; equal texts have equal fingerprints; the next document of rows that tie on their id
-goes by text; null ids come first; an empty table gives an empty result.
+"""Document fingerprints by I-Match over randomised lexicons; DataFrame functions only.
+
+A term is a run of letters and digits, lower-cased; terms are compared by a 64-bit hash. The lexicon keeps the terms whose
+inverse document frequency ln(N / df) lies in ``BAND`` and that occur in two documents at least. The band is absolute, so
+that a corpus that grows alike keeps its lexicon and the same text its fingerprint, and it bounds the lexicon: at most
+exp(BAND[1]) terms for each term that a document has on average, whatever the number of documents.
+
+Randomised lexicons are fixed for all documents: for each of ``SEEDS`` seeds, nested subsets that hold a 4th, 16th and so
+on (``LEVELS`` of them) of the lexicon, by a hash of the term and the seed. A signature is the hash of all the text's sorted
+distinct terms in one of these lexicons: two texts agree in it exactly if they have the same terms there. The fingerprint
+is the signature by the whole lexicon and then those by all subsets, zeros where the text has no term in one.
+
+Likeness is read at the sparsest level at which at least half of the seeds hold a term of either text, for there a
+lexicon holds a few terms and survives some edits: it is the share of these seeds whose signatures agree. Where no level
+is that full, the densest one that holds a term counts, and else the signature by the whole lexicon.
+
+Defined results: a null text counts as empty; texts of any length are read whole; a text without a term of the lexicon is
+fingerprinted on all its terms, one without terms on its characters; equal texts have equal fingerprints; rows that tie on
+their id follow each other by text; null ids come first; a column of the input named ``fingerprint`` stays, and the output
+is called ``fingerprint_``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEXICON_BITS = 20
-SEEDS = 16
-#: Normalised idf, ln(N / df) / ln(N), of the terms kept.
-BAND = (0.15, 0.97)
+from utterframe.llm.common import constants, free_name
+
+#: Inverse document frequency, ln(N / df), of the terms kept: in about one of 8 to one of 500 documents.
+BAND = (2.0, 6.25)
+SEEDS, LEVELS = 12, 6
+#: Hexadecimal digits of the signature by the whole lexicon, and of the others.
+WHOLE, PART = 16, 8
 #: What separates terms.
 SEPARATOR = r"[^\p{L}\p{N}]+"
-#: Ranges of ids in which the next document is looked up.
-RANGES = 1024
+#: Rows in a range of ids in which the next document is looked up, ranges at most, and sampled ids to a range.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 5000, 1 << 16, 8
 
 
 def bind(value: Column, then) -> Column:
@@ -34,101 +46,134 @@ def bind(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def places(text: Column) -> Column:
-    """Distinct places of a text's terms."""
+def terms(text: Column) -> Column:
+    """Distinct term hashes of a text."""
     words = F.filter(F.split(F.lower(text), SEPARATOR), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(1 << LEXICON_BITS)).cast("int")))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = BAND) -> Column:
-    """The bitmap of places within the band, 64 to a number, as a constant."""
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    counted = texts.select(F.explode(places(F.col("__text"))).alias("place")).groupBy("place").agg(F.count("*").alias("df"))
-    total = max(2, docs.count())
-    idf = (F.log(F.lit(float(total))) - F.log(F.col("df"))) / F.log(F.lit(float(total)))
-    masks = counted.where(idf.between(*band)).groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(63))).alias("mask")
-    )
-    found = dict(masks.collect())  # 2**LEXICON_BITS / 64 rows at most
-    return constants([found.get(i, 0) for i in range((1 << LEXICON_BITS) // 64)], "bigint")
+    """The terms within the band, as a constant: a hash table whose bucket of a term is its lowest bits.
 
+    Counted by term, with partial sums before the shuffle; only the terms in the band, whose number is bounded, leave it.
+    """
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    counted = texts.select(F.explode(terms(F.col("__text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    total = docs.count()
+    least, most = max(2, math.ceil(total / math.exp(band[1]))), math.floor(total / math.exp(band[0]))
+    found = [r["term"] for r in counted.where(F.col("df").between(least, most)).select("term").collect()]
+    size = 1 << max(0, (len(found) - 1).bit_length())
+    buckets: list[list[int]] = [[] for _ in range(size)]
+    for term in sorted(found):
+        buckets[term & (size - 1)].append(term)
+    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<array<bigint>>")
+
+
+def fingerprint(text: Column, words: Column) -> Column:
+    """The signatures of a text, by the whole lexicon and level by level, as hexadecimal digits."""
+    mask = (F.size(words) - 1).cast("long")
+    known = lambda t: F.array_contains(F.get(words, t.bitwiseAND(mask).cast("int")), t)
+
+    def sparser(held: Column, seed: Column, level: int) -> Column:
+        """Signatures of a seed from a level on; ``held`` are the text's terms in the lexicon before it."""
+        if level > LEVELS:
+            return F.lit("")
+        inside = lambda t: F.shiftrightunsigned(F.xxhash64(t, seed), 64 - 2 * level) == 0
+        here = lambda held: F.concat(F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(held), 64 - 4 * PART)), PART, "0"), sparser(held, seed, level + 1))
+        none = F.lit("0" * PART * (LEVELS - level + 1))
+        return bind(F.filter(held, inside), lambda kept: F.when(F.size(kept) > 0, here(kept)).otherwise(none))
+
+    def all_signatures(held: Column) -> Column:
+        seeds = F.transform(F.sequence(F.lit(1), F.lit(SEEDS)), lambda s: sparser(held, s, 1))
+        return F.concat(F.lpad(F.hex(F.xxhash64(held)), WHOLE, "0"), F.array_join(seeds, ""))
 
-def fingerprint(text: Column, bits: Column) -> Column:
-    """``SEEDS`` signatures of 16 hexadecimal digits each."""
-    in_band = lambda p: F.call_function("shiftright", F.get(bits, F.shiftright(p, 6)), p.bitwiseAND(63)).bitwiseAND(F.lit(1).cast("long")) == 1
+    def chosen(found: Column) -> Column:
+        whole = F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(text)))
+        return bind(F.filter(found, known), lambda kept: F.sort_array(F.when(F.size(kept) > 0, kept).otherwise(whole)))
 
-    def signature(keys: Column) -> Column:
-        half = F.pow(F.lit(2.0), F.ceil(F.log2(F.array_min(keys) + 1))).cast("long")
-        return bind(half, lambda h: F.lpad(F.hex(F.xxhash64(F.array_sort(F.filter(keys, lambda x: x < h)))), 16, "0"))
+    return bind(bind(terms(text), chosen), all_signatures)
 
-    def all_signatures(terms: Column) -> Column:
-        keys = lambda seed: F.transform(terms, lambda t: F.shiftrightunsigned(F.xxhash64(t, seed), 2))
-        return F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(SEEDS)), lambda s: bind(keys(s), signature)))
 
-    def chosen(found: Column) -> Column:
-        whole = F.when(F.size(found) > 0, found).otherwise(F.array(F.hash(text)))
-        return bind(F.filter(found, in_band), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(whole))
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1: see the module's docstring."""
+    none = F.lit("0" * PART)
 
-    return bind(bind(places(text), chosen), all_signatures)
+    def at_level(level: int) -> Column:
+        """Seeds that hold a term of either text, and those of them that agree."""
+        def add(acc: Column, seed: Column) -> Column:
+            place = seed * (LEVELS * PART) + (WHOLE + 1 + (level - 1) * PART)
+            x, y = F.substr(a, place, F.lit(PART)), F.substr(b, place, F.lit(PART))
+            held = (x != none) | (y != none)
+            return F.struct((acc["n"] + held.cast("int")).alias("n"), (acc["same"] + (held & (x == y)).cast("int")).alias("same"))
 
+        return F.aggregate(F.sequence(F.lit(0), F.lit(SEEDS - 1)), F.struct(F.lit(0).alias("n"), F.lit(0).alias("same")), add)
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures, 0 to 1."""
-    same = lambda n, i: n + (F.substr(a, i * 16 + 1, F.lit(16)) == F.substr(b, i * 16 + 1, F.lit(16))).cast("int")
-    return F.aggregate(F.sequence(F.lit(0), F.lit(SEEDS - 1)), F.lit(0), same) / F.lit(float(SEEDS))
+    whole = (F.substr(a, F.lit(1), F.lit(WHOLE)) == F.substr(b, F.lit(1), F.lit(WHOLE))).cast("double")
+    share = lambda least: lambda found: F.when(found["n"] >= least, found["same"] / found["n"])
+    full = [bind(at_level(level), share(SEEDS // 2)) for level in range(LEVELS, 0, -1)]
+    return F.when(a == b, 1.0).otherwise(F.coalesce(*full, bind(at_level(1), share(1)), whole))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", lexicon_of: DataFrame | None = None) -> DataFrame:
     """``docs`` with the column fingerprint; the lexicon is that of ``lexicon_of`` (docs, if none is given)."""
-    bits = lexicon(docs if lexicon_of is None else lexicon_of, text_col)
-    return docs.withColumn("fingerprint", fingerprint(F.coalesce(F.col(text_col), F.lit("")), bits))
+    words = lexicon(docs if lexicon_of is None else lexicon_of, text_col)
+    return docs.withColumn(free_name("fingerprint", docs.columns), fingerprint(F.coalesce(F.col(text_col), F.lit("")), words))
+
 
+def range_bounds(docs: DataFrame, id_col: str) -> tuple[list, bool]:
+    """Ids that begin the ranges, the least of all among them, and whether there are null ids.
 
-def constants(values: list, kind: str) -> Column:
-    """An array constant, made from one string."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+    A sample by hash of the distinct ids, of a size that follows the ranges' number, is collected; it only shapes tasks.
+    """
+    row = docs.agg(F.count("*").alias("n"), F.min(id_col).alias("least"), F.max(F.col(id_col).isNull()).alias("nulls")).first()
+    ranges = max(1, min(row["n"] // RANGE_ROWS, MOST_RANGES))
+    share = min(1.0, SAMPLED * ranges / max(1, row["n"]))
+    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 11) / F.lit(2.0**53)
+    sample = [r[0] for r in docs.where(F.col(id_col).isNotNull() & (place < share)).select(id_col).distinct().collect()] if ranges > 1 else []
+    sample.sort()
+    bounds = {*sample[SAMPLED::SAMPLED], *([] if row["least"] is None else [row["least"]])}
+    return sorted(bounds), bool(row["nulls"])
 
 
 def with_next(docs: DataFrame, id_col: str, order: list[str], carried: list[str], derive=lambda df: df) -> DataFrame:
-    """Adds ``next``, a struct of ``carried`` from the next row by (numeric id, order); the last row's is the first row.
+    """Adds ``next``, a struct of ``carried`` from the next row by (id, order); the last row's is the first row.
 
-    Rows are dealt to ranges of ids that hold about as many rows each. A range's last row finds its next in a copy of
-    the first row of the range that follows, so that no task sees all rows. ``derive`` adds columns to rows once dealt.
+    Rows are dealt once to ranges of ids of about RANGE_ROWS rows, whose number grows with the table. A range's last row
+    finds its next in a copy of the first row of the range that follows, so that no task sees all rows. ``derive`` adds
+    columns to rows once dealt.
     """
-    quantiles = F.percentile_approx(id_col, constants([i / RANGES for i in range(RANGES)], "double"), 4 * RANGES)
-    row = docs.agg(quantiles.alias("q"), F.min(id_col).alias("least"), F.max(F.col(id_col).isNull()).alias("nulls")).first()
-    bounds = sorted({*(row["q"] or []), *([] if row["least"] is None else [row["least"]])})  # RANGES + 1 ids at most
+    bounds, nulls = range_bounds(docs, id_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    width = 32
+    width = max(1, math.isqrt(len(bounds)))
     fine, coarse = constants(bounds or [0], kind), constants(bounds[::width] or [0], kind)
     key = F.col(id_col)
     upto = lambda values: F.size(F.filter(values, lambda b: b <= key))
     group = F.greatest(upto(coarse) - 1, F.lit(0))
     in_range = F.when(key.isNull(), 0).otherwise(bind(group, lambda g: g * width + upto(F.slice(fine, g * width + 1, F.lit(width)))))
-    dealt = docs.withColumn("__range", in_range.cast("int"))
-    first_range, last_range = (0 if row["nulls"] else 1), len(bounds)
     heads = docs.sparkSession.createDataFrame([(b, i + 1) for i, b in enumerate(bounds)], f"__id {kind}, __range int")
-    firsts = docs.join(F.broadcast(heads), key == F.col("__id")).drop("__id")
-    if row["nulls"]:
+    firsts = docs.join(F.broadcast(heads), key == F.col("__id")).drop("__id")  # MOST_RANGES + 1 ids at most
+    if nulls:
         firsts = firsts.unionByName(docs.where(key.isNull()).withColumn("__range", F.lit(0)))
-    pick = Window.partitionBy("__range").orderBy(*order)
-    firsts = firsts.withColumn("__n", F.row_number().over(pick)).where("__n = 1").drop("__n")
+    # of rows that share a first id the first by order: partial minima before the shuffle
+    firsts = firsts.groupBy("__range").agg(F.min(F.struct(*order, *[c for c in docs.columns if c not in order])).alias("__row")).select("__row.*", "__range")
+    first_range, last_range = (0 if nulls else 1), len(bounds)
     before = F.when(F.col("__range") == first_range, last_range).otherwise(F.col("__range") - 1)
-    copies = derive(firsts.withColumn("__range", before.cast("int"))).withColumn("__copy", F.lit(1))
+    copies = firsts.select(*docs.columns, before.cast("int").alias("__range"), F.lit(1).alias("__copy"))
+    both = docs.withColumns({"__range": in_range.cast("int"), "__copy": F.lit(0)}).unionByName(copies)
+    dealt = derive(both.repartition(F.col("__range")))
     w = Window.partitionBy("__range").orderBy("__copy", F.col(id_col).asc_nulls_first(), *order)
-    both = derive(dealt).withColumn("__copy", F.lit(0)).unionByName(copies)
-    return both.withColumn("next", F.lead(F.struct(*carried)).over(w)).where("__copy = 0").drop("__copy", "__range")
+    return dealt.withColumn("next", F.lead(F.struct(*carried)).over(w)).where("__copy = 0").drop("__copy", "__range")
 
 
 def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints each text and its edited form, whose last quarter is the beginning of the next document."""
-    bits = lexicon(docs, text_col)
+    words = lexicon(docs, text_col)
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marked = lambda df: df.withColumn("fingerprint", fingerprint(F.col("text"), bits))
+    marked = lambda df: df.withColumn("fingerprint", fingerprint(F.col("text"), words))
     pairs = with_next(own, "doc_id", ["text"], ["text", "fingerprint"], marked)
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - quarter), F.substr(F.col("next.text"), F.lit(1), quarter))
-    out = pairs.withColumn("__edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("__edited"), bits))
+    out = pairs.withColumn("__edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("__edited"), words))
     return out.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("__edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
