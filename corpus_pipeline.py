@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again before the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again before the next.
+
+All stages read whole texts of any length, judge repeated rows alike, keep rows that share an id (or have none) apart,
+return other columns as they were, whatever their names, and give an empty result for an empty table. Each stage says
+what becomes of null and empty texts and of ties.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterframe.llm import bpe, decontam, langid, neardup, toxicity
-from utterframe.llm.common import fold, materialize, table
+from utterframe.llm.common import discard, fold, materialize, table
 
 
 def _accepted(docs: DataFrame, score: Callable[[DataFrame], DataFrame], outputs: tuple[str, ...], condition: str) -> DataFrame:
@@ -19,33 +24,44 @@ def _accepted(docs: DataFrame, score: Callable[[DataFrame], DataFrame], outputs:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the model, trained on the learning rows of ``labels``, finds toxic."""
+    """Rejects documents that the model, trained on the learning rows of ``labels``, finds toxic: a score of 0.5 or more.
+
+    Null and empty texts score 0 and stay.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=fold("doc_id", 5) != 0)
     return _accepted(docs, lambda df: toxicity.score_documents(df, model), ("score", "predicted", "offending"), "predicted = 0")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose language cannot be told: no letters, or a posterior under one half."""
+    """Rejects documents whose language cannot be told: no letters (null and empty texts), or a posterior under one half.
+
+    Languages that tie at one half are told: the first by name.
+    """
     model = langid.fit(docs, learn=fold("doc_id", 5) != 0)
     told = f"lang_pred <> '{langid.UNDETERMINED}' and score >= 0.5"
     return _accepted(docs, lambda df: langid.identify(df, model), ("lang_pred", "score"), told)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each class of near-duplicates."""
+    """Keeps the document with the least id of each class of near-duplicates; of rows that tie on it that with the least text.
+
+    Null texts stay, each by itself; texts without words are one class.
+    """
     return neardup.deduplicate(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents into which a benchmark item leaks."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), by_text=True)
+    """Rejects documents into which a benchmark item leaks; null and empty texts, into which none can, stay."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenization_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes every document and proves that the ids decode to it."""
-    return bpe.round_trip(docs.select("doc_id", "text", "lang", "source")).select(
-        "doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256"
-    )
+    """Encodes every document and proves that the ids decode to it; a null or empty text has no ids.
+
+    Returns doc_id, lang and source as far as they are there, and n_tokens, ids_sha256 and decoded_sha256.
+    """
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    return bpe.round_trip(docs.select(*kept, "text")).drop("text")
 
 
 STAGES = [
@@ -63,5 +79,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
