@@ -15,8 +15,13 @@ between ends of sentences, since any text may hold the words.
 A bitmap of the benchmark's window hashes, of fixed size whatever the benchmark's, lets the scan of the documents drop
 windows that cannot join; those that pass meet the benchmark in an equi-join.
 
-Defined results: null and empty texts, and those without a word or number, have no windows; a document is an id (or null)
-with a text, so that rows that share an id are judged and reported apart; repeated items report once by item_id; empty
+Slots are checked within one alignment and from the item's values to the document's: two values of an item may become one
+in a document, as they may in a question asked with other numbers.
+
+Defined results: null and empty texts, and those without a word or number, have no windows; texts of any length are read
+whole; a document is an id (or null) with a text, so that rows that share an id, or have none, are judged and reported
+apart; of two ways to cover an item that tie the one with more windows is reported; repeated documents report once,
+repeated items once by item_id; other columns are ignored, or kept by ``decontaminate``, whatever their names; empty
 tables give an empty result.
 """
 
@@ -255,13 +260,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
     return leaks_by_text(docs, benchmark, **columns).drop("text_hash")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
-    """``docs`` without the documents into which an item leaks.
-
-    A document is all rows of an id, and rows without an id stay; ``by_text`` judges every row by its own text.
-    """
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows into whose text an item leaks, those without an id included."""
     leaks = leaks_by_text(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak"), F.col("text_hash").alias("__hash"))
-    if by_text:
-        here = docs[id_col].eqNullSafe(F.col("__leak")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
-        return docs.join(leaks.distinct(), here, "left_anti")
-    return docs.join(leaks.select("__leak").distinct(), docs[id_col] == F.col("__leak"), "left_anti")
+    here = docs[id_col].eqNullSafe(F.col("__leak")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
+    return docs.join(leaks.distinct(), here, "left_anti")

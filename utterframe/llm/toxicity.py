@@ -36,7 +36,7 @@ TOKEN = re.compile(r"[^\W\d_]+|[.!?。！？…؟।\n]+")
 END, NAN = frozenset(".!?。！？…؟।\n"), float("nan")
 #: Features that the model keeps at most, those that tell most; fewer documents than this make none, nor does a
 #: likelihood ratio statistic (twice the gain in log-likelihood over independence of the label) below this.
-MAX_FEATURES, MIN_DOCS, MIN_RATIO = 20_000, 4, 8.0
+MAX_FEATURES, MIN_DOCS, MIN_RATIO = 20_000, 4, 2.7
 #: The bias is at most this: long documents have many sentences that tell nothing.
 MAX_BIAS = -9.0
 
