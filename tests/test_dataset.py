@@ -51,16 +51,28 @@ def test_a_failing_channel_is_a_row(spark):
             raise RuntimeError("no such channel")
         return ["a", "", " b "]
 
-    got = media.discover(spark.createDataFrame([("good",), ("bad",)], "channel string"), listing).collect()
-    assert [(r.video_id, r.error) for r in got] == [("a", None), ("b", None), (None, "no such channel")]
+    got = media.discover(spark.createDataFrame([("good",), ("bad",)], "channel string"), listing, max_concurrency=1).collect()
+    assert sorted(((r.video_id, r.error) for r in got), key=str) == sorted([("a", None), ("b", None), (None, "no such channel")], key=str)
 
 
 def test_downloads(spark):
-    def runner(args):
-        return media.Ran(1, "", "gone") if args[-1].endswith("x") else media.Ran(0, "log\nout/a.m4a\n\n")
+    def runner(args, timeout=None):
+        if args[0] == "ffprobe":
+            return media.Ran(0, "12.5\n") if timeout == 30.0 else media.Ran(1)
+        assert timeout == 7 and args[1:9] == ["-f", "bestaudio/best", "-x", "--audio-format", "opus", "--no-keep-video", "--no-playlist", "-o"]
+        assert args[10:14] == ["--print", "after_move:filepath", "--limit-rate", "1M"]
+        return media.Ran(1, "", "gone") if args[-1].endswith("x") else media.Ran(0, "log\n" + args[9].replace("%(ext)s", "opus") + "\n\n")
 
     rows = spark.createDataFrame([("a", None, "u/a", None), ("x", None, "u/x", None)], "video_id string, channel string, url string, error string")
-    assert [(r.video_id, r.raw_path, r.error) for r in media.download(rows, "out", runner).collect()] == [("a", "out/a.m4a", None), ("x", None, "gone")]
+    got = media.download(rows, "/tmp/utterframe-none", runner, audio_format="opus", rate_limit="1M", timeout_s=7).orderBy("video_id").collect()
+    assert [(r.video_id, r.raw_path, r.duration_s, r.error) for r in got] == [("a", "/tmp/utterframe-none/a.opus", 12.5, None), ("x", None, None, "gone")]
+    assert "--limit-rate" not in media.download_arguments("u", "v", "f", "m4a")
+
+
+def test_playlist():
+    assert media.playlist(lambda args, timeout: media.Ran(0, f"{args[-1]}1\n{timeout}\n"))("c") == ["c1", "300.0"]
+    with pytest.raises(RuntimeError, match="no such"):
+        media.playlist(lambda args, timeout: media.Ran(1, "", "no such channel"))("c")
 
 
 def test_local_folder(spark, tmp_path):
@@ -98,7 +110,7 @@ def test_gates_in_order(spark):
     assert [r.passed for r in got] == [False] * 5 + [True] and got[0].dnsmos_ovr is None and seen.value >= 3
     off = quality.filter_segments(spark.createDataFrame(rows, SEG), config.Filter(enabled=False), score)
     assert off.where("passed").count() == 6
-    unscored = quality.filter_segments(spark.createDataFrame(rows, SEG), config.Filter(min_dnsmos_ovr=None), score)
+    unscored = quality.filter_segments(spark.createDataFrame(rows, SEG), config.Filter(min_dnsmos_ovr=None, reject_overlapping_speech=False), score)
     assert unscored.where("passed and dnsmos_ovr is null").count() == 6
 
 
@@ -165,18 +177,29 @@ def test_job_store(spark, tmp_path):
     assert {r.video_id: r.url for r in store.read("videos").collect()} == {"a": "u1", "b": "u3"}
     store.update("videos", spark.createDataFrame([("a", "RUNNING", None)], "video_id string, status string, url string"))
     assert {r.video_id: (r.status, r.url) for r in store.read("videos").collect()} == {"a": ("RUNNING", None), "b": ("PENDING", "u3")}
-    store.recover_stale_running(3600)
+    assert store.recover_stale_running(3600) == 0
     assert store.read("videos").where("status = 'RUNNING'").count() == 1
-    store.recover_stale_running()
+    assert store.recover_stale_running() == 1
     assert store.read("videos").where("status = 'PENDING'").count() == 2
+    born = store.get("videos", "b")["created_at"]
+    store.put("videos", spark.createDataFrame([("b", "DONE"), ("c", "DONE")], "video_id string, status string"))
+    assert {r.video_id: r.status for r in store.read("videos").collect()} == {"a": "PENDING", "b": "DONE", "c": "DONE"}
+    assert store.get("videos", "b")["created_at"] == born and store.get("videos", "z") is None and store.get("superchunks", "a", 0) is None
+    store.put("videos", spark.createDataFrame([("b", "PENDING")], "video_id string, status string"), without=spark.createDataFrame([("c",)], "video_id string"))
+    assert len([p for p in tmp_path.rglob("videos-*") if p.is_dir()]) <= 2
     assert store.reset("a") == {"videos": 1, "superchunks": 0, "segments": 0}
     assert [r.PENDING for r in store.counts().collect()] == [1]
 
 
 def test_config_and_cli(spark, tmp_path, capsys):
     path = tmp_path / "c.yaml"
-    path.write_text(f"paths:\n  output_dir: {tmp_path}/out\n  db_path: {tmp_path}/db\nvad:\n  overlap_s: 1.5\nunknown: 1\n")
+    body = f"paths:\n  output_dir: {tmp_path}/out\n  db_path: {tmp_path}/db\nvad:\n  overlap_s: 1.5\n"
+    path.write_text(body + "  loudness: 3\nunknown: 1\n")
+    with pytest.raises(ValueError, match="unknown"):
+        config.load_config(path)
+    path.write_text(body + "asr:\n  diarize_fill_nearest: true\nresources:\n  ram_floor_mb: 1\nqueues:\n  maxsize_per_stage: 2\n")
     cfg = config.load_config(path)
+    assert cfg.asr.diarize_fill_nearest and cfg.filter.reject_overlapping_speech and cfg.download.audio_format == "m4a"
     assert cfg.vad.overlap_s == 1.5 and cfg.vad.max_superchunk_s == 90.0
     files.write_documents(packaged(spark), cfg.paths.output_dir)
     args = ["--config", str(path)]
@@ -194,5 +217,7 @@ def test_config_and_cli(spark, tmp_path, capsys):
 def test_costs():
     assert config.estimate_cost({"vad": 3e6}, "vad", 2.5) == 7_500_000 and config.estimate_cost({}, "vad", 2.5) == 0
     assert config.estimate_cost({"vad": 3e6}, "vad", -1) == 0
-    assert config.worker_specs(config.Asr(num_workers=0), False) == [("cpu", 0)]
-    assert config.worker_specs(config.Asr(num_workers=0, gpu_ids=[1, 2]), True) == [("cuda", 1), ("cuda", 2)]
+    assert config.worker_specs(config.Asr(num_workers=0)) == [("cpu", 0)]
+    assert config.worker_specs(config.Asr(num_workers=0), [1, 2]) == [("cuda", 1), ("cuda", 2)]
+    assert config.worker_specs(config.Asr(num_workers=1, device="cpu"), [1, 2]) == [("cpu", 0)]
+    assert [config.compute_type(config.Asr(compute_type=c), d) for c, d in (("auto", "cuda"), ("auto", "cpu"), ("int4", "cuda"))] == ["float16", "int8", "int4"]

@@ -68,7 +68,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from utterframe.pipeline import run
 
         if given.command == "resume":
-            JobStore(spark, cfg.paths.db_path).recover_stale_running(0)
+            print(f"{JobStore(spark, cfg.paths.db_path).recover_stale_running(0)} running rows are pending again")
         print(run(spark, cfg, load_models(given.models)))
         print(f"{write_listings(spark, cfg)} segments in the manifest")
     elif given.command == "status":
@@ -76,7 +76,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for table in ("videos", "superchunks", "segments"):
             print(table, *(f"{s}={found[table][s] if table in found else 0}" for s in STATUSES))
     elif given.command == "reset":
-        if not given.yes and input("Remove job state? [y/N] ").strip().lower() not in ("y", "yes"):
+        what = f"video {given.video_id}" if given.video_id else "ALL videos"
+        if not given.yes and input(f"Remove the job state of {what} in {cfg.paths.db_path}? [y/N] ").strip().lower() not in ("y", "yes"):
             print("kept")
             return 1
         print(JobStore(spark, cfg.paths.db_path).reset(given.video_id))
@@ -90,11 +91,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"{r['speaker']}: {r['segments']} segments, {r['hours']:.2f} hours")
     elif given.command == "filter-speakers":
         kept, removed = package.kept_speakers(files.read_documents(spark, out), given.keep)
-        n_kept, names = kept.count(), [r[0] for r in removed.select("segment_id").collect()]
+        n_kept, n_removed = kept.count(), removed.count()
         if not given.dry_run:
-            files.remove_segments(out, names)
+            files.remove_segments(out, removed)
             write_listings(spark, cfg)
-        print(f"kept {n_kept}, removed {len(names)}" + " (dry run)" * given.dry_run)
+        print(f"kept {n_kept}, removed {n_removed}" + " (dry run)" * given.dry_run)
     elif given.command == "transcribe":
         rows = media.transcribe(media.local_files(spark, given.input_dir), load_models(given.model))
         listed = numbered(rows, "filename").select("no", "filename", "duration_s", "text").orderBy("no")

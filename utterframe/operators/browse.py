@@ -16,14 +16,14 @@ def labelled(docs: DataFrame) -> DataFrame:
 
 
 def with_info(docs: DataFrame) -> DataFrame:
-    """Adds info: what is known of a segment, one item a line."""
-    item = lambda name, value: F.concat(F.lit(f"**{name}:** "), value)
+    """Adds info: what is known of a segment, an item a line, in Markdown."""
+    marked = lambda name, value: F.concat(F.lit(f"{name}: `"), value, F.lit("`"))
     return docs.withColumn("info", F.concat_ws(
-        "  \n", item("segment", F.col("segment_id")), item("video", F.col("video_id")), item("speaker", or_unknown(F.col("speaker"))),
-        item("duration", F.concat(fixed(F.col("duration"), 2), F.lit("s"))),
-        F.when(F.col("language") != "", item("language", F.col("language"))),
-        F.when(F.col("dnsmos_ovr").isNotNull(), item("dnsmos_ovr", fixed(F.col("dnsmos_ovr"), 2))),
-        F.when(F.col("exceeds_max_duration"), F.lit("exceeds max duration")), F.when(F.col("has_overlap"), F.lit("has overlapping speech")),
+        "  \n", F.concat(F.lit("**"), F.col("segment_id"), F.lit("**")), marked("video", F.col("video_id")),
+        marked("speaker", or_unknown(F.col("speaker"))), F.concat(F.lit("duration: "), fixed(F.col("duration"), 2), F.lit("s")),
+        F.when(F.col("dnsmos_ovr").isNotNull(), F.concat(F.lit("dnsmos_ovr: "), fixed(F.col("dnsmos_ovr"), 2))),
+        F.when(F.col("language") != "", F.concat(F.lit("language: "), F.col("language"))),
+        F.when(F.col("exceeds_max_duration"), F.lit("**exceeds_max_duration**")),
     ))
 
 

@@ -1,13 +1,15 @@
 """Job state: three keyed tables as versions of Parquet folders, switched by a pointer file.
 
 Every change writes a new version of a table and then moves the pointer, by rename, so that readers see either all of a
-change or none. Nothing is changed in place; a run that dies leaves the old version in force.
+change or none. Nothing is changed in place; a run that dies leaves the old version in force. The current version and
+the one before it are kept. The folder must be a path that the driver and all executors share.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import shutil
 import uuid
 from pathlib import Path
 
@@ -37,6 +39,13 @@ def insert_if_absent(current: DataFrame, new: DataFrame, keys: list[str], order:
     return current.unionByName(fresh.select(current.columns))
 
 
+def upsert(current: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``new`` and the rows of ``current`` whose key it lacks; rows that are replaced keep when they were created."""
+    born = current.select(*keys, F.col("created_at").alias("__born"))
+    fresh = new.join(born, keys, "left").withColumn("created_at", F.coalesce("__born", "created_at"))
+    return current.join(new.select(*keys), keys, "left_anti").unionByName(fresh.select(current.columns))
+
+
 def partial_update(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Sets the columns named in each change's ``set_fields`` (array<string>), nulls included; others stay."""
     fields = [c for c in current.columns if c not in keys]
@@ -108,8 +117,11 @@ class JobStore:
         version = f"{table}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/{version}")
         tmp = self._pointer(table).with_suffix(".tmp")
-        tmp.write_text(json.dumps({"version": version}))
+        before = json.loads(self._pointer(table).read_text()) if self._pointer(table).exists() else {}
+        tmp.write_text(json.dumps({"version": version, "before": before.get("version")}))
         os.replace(tmp, self._pointer(table))
+        if old := before.get("before"):  # the last version stays for readers that began with it
+            shutil.rmtree(Path(self.root, old), ignore_errors=True)
 
     def add(self, table: str, rows: DataFrame, order: Column | str | None = None) -> int:
         """Inserts rows whose key is new, as PENDING unless they say otherwise; returns how many."""
@@ -123,6 +135,26 @@ class JobStore:
         self.write(table, insert_if_absent(current, given.withColumns(missing), list(keys), order if order is not None else F.lit(0)))
         return self.read(table).count() - before
 
+    def put(self, table: str, rows: DataFrame, without: DataFrame | None = None) -> None:
+        """Inserts rows or replaces those with their key (one row a key); drops the rows of the videos in ``without``."""
+        keys, ddl = TABLES[table]
+        now = F.current_timestamp()
+        given = rows.withColumns({c: now for c in ("created_at", "updated_at") if c not in rows.columns})
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in T._parse_datatype_string(ddl).fields if f.name not in given.columns}
+        current = self.read(table)
+        if without is not None:
+            current = current.join(without.select("video_id"), "video_id", "left_anti").select(current.columns)
+        self.write(table, upsert(current, given.withColumns(missing), list(keys)))
+
+    def get(self, table: str, *key) -> dict | None:
+        """The row of a key, if there is one."""
+        keys, _ = TABLES[table]
+        found = self.read(table)
+        for name, value in zip(keys, key, strict=True):
+            found = found.where(F.col(name) == F.lit(value))
+        row = found.first()
+        return row.asDict() if row else None
+
     def update(self, table: str, changes: DataFrame) -> None:
         """``changes``: the key, new values, and no other column; every given column is set, nulls too."""
         keys, _ = TABLES[table]
@@ -132,18 +164,26 @@ class JobStore:
         stamped = changes.withColumns({"updated_at": F.current_timestamp(), "set_fields": F.array(*[F.lit(c) for c in [*fields, "updated_at"]])})
         self.write(table, partial_update(self.read(table), stamped, list(keys)))
 
-    def recover_stale_running(self, max_age_s: float = 0) -> None:
+    def recover_stale_running(self, max_age_s: float = 0) -> int:
+        """Sets stale RUNNING rows to PENDING; returns how many. Tables without one are left alone."""
+        total = 0
         for table in TABLES:
-            self.write(table, recover_stale(self.read(table), F.current_timestamp(), max_age_s))
+            current, now = self.read(table), F.current_timestamp()
+            stale = recover_stale(current.where("status = 'RUNNING'"), now, max_age_s).where("status = 'PENDING'").count()
+            if stale:
+                self.write(table, recover_stale(current, now, max_age_s))
+            total += stale
+        return total
 
     def reset(self, video_id: str | None = None) -> dict[str, int]:
         """Removes a video's rows, or all; returns the rows removed from each table."""
         removed = {}
         for table in TABLES:
             current = self.read(table)
-            kept = current.limit(0) if video_id is None else without_video(current, video_id)
-            removed[table] = current.count() - kept.count()
-            self.write(table, kept)
+            gone = current if video_id is None else current.where(F.col("video_id").eqNullSafe(F.lit(video_id)))
+            removed[table] = gone.count()
+            if removed[table]:
+                self.write(table, current.limit(0) if video_id is None else without_video(current, video_id))
         return removed
 
     def counts(self) -> DataFrame:

@@ -2,25 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of the order that rows are dealt to.
-RANGES = 256
+#: Rows of a range of the order, ranges at most, and sampled keys to a range.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 50_000, 1 << 16, 8
+
+
+def range_of(key: Column, bounds: list, kind: str) -> Column:
+    """How many of the sorted bounds are at most the key: first among every w-th of them, then within that stretch."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(bounds)))
+    as_array = lambda values: F.array(*[F.lit(v).cast(kind) for v in values])
+    upto = lambda values: F.size(F.filter(values, lambda b: b <= key))
+    stretches = F.array(*[as_array(bounds[i : i + width]) for i in range(0, len(bounds), width)])
+    group = F.greatest(upto(as_array(bounds[::width])) - 1, F.lit(0))
+    within = lambda g: g * width + upto(F.get(stretches, g))
+    return F.get(F.transform(F.array(group), within), F.lit(0))
 
 
 def numbered(df: DataFrame, key: str, ties: tuple[str, ...] = (), alias: str = "no") -> DataFrame:
-    """Adds the rows' numbers by (key, ties), from 1.
+    """Adds the rows' numbers by (key, ties), from 1; null keys come first.
 
-    A bounded sample of keys, chosen by hash, cuts the order into ranges; each range counts its rows, and its numbers
-    start after all before it.
+    A sample of keys, chosen by hash and as large as the ranges need, cuts the order into ranges of about RANGE_ROWS
+    rows; each range counts its rows, and its numbers start after all before it.
     """
-    sample = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key)).limit(RANGES - 1)
-    bounds = F.array(*[F.lit(b) for b in sorted(r[0] for r in sample.collect())] or [F.lit(None)])
-    part = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(key))), F.lit(0))
-    dealt = df.withColumn("__part", F.when(F.col(key).isNull(), -1).otherwise(part))
-    counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))  # RANGES + 1 rows at most
-    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    rows = df.count()
+    ranges = max(1, min(rows // RANGE_ROWS, MOST_RANGES))
+    bounds: list = []
+    if ranges > 1:
+        place = F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(2.0**53)
+        sample = df.select(key).where(F.col(key).isNotNull() & (place < SAMPLED * ranges / rows)).distinct().collect()
+        bounds = sorted(r[0] for r in sample)[SAMPLED // 2 :: SAMPLED]
+    part = F.when(F.col(key).isNull(), -1).otherwise(range_of(F.col(key), bounds, df.schema[key].dataType.simpleString()))
+    dealt = df.withColumn("__part", part)
+    counts = {r["__part"]: r["n"] for r in dealt.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # MOST_RANGES + 2 at most
+    offsets, before = [], 0
+    for p in sorted(counts):
+        offsets.append((p, before))
+        before += counts[p]
+    starts = df.sparkSession.createDataFrame(offsets, "__part int, __before long")
     within = F.row_number().over(Window.partitionBy("__part").orderBy(key, *ties))
-    return dealt.join(F.broadcast(offsets), "__part").withColumn(alias, F.col("__before") + within).drop("__part", "__before")
+    return dealt.join(F.broadcast(starts), "__part").withColumn(alias, F.col("__before") + within).drop("__part", "__before")

@@ -1,29 +1,35 @@
 """The whole run: sources to packaged segments, one table after the other; models and tools are callables.
 
 Every stage's result is a version in the job store or a table in the work folder, so that a run that stopped goes on
-from what is there: videos whose chunks aren't all DONE are driven again, whatever their own status.
+from what is there. A video is DONE when all its chunks are and its segments are judged; until then every run drives it
+again and hears only the chunks that aren't DONE: the words of the others come from the store.
+
+The work and output folders and the job store are paths that the driver and all executors share; media files, clips and
+documents are written there by tools and tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterframe.config import Config
+from utterframe.config import Asr, Config, Filter, Vad
+from utterframe.functions.text import segment_id, strip
 from utterframe.operators import jobstore, package, quality, rechunk, turns, vad
-from utterframe.operators.turns import first_seen_mode
+from utterframe.operators.turns import first_seen_mode, words_payload
 from utterframe.sources import files, media
 from utterframe.sources.media import Runner
 
-#: What each factory makes, once in a worker, is called with paths and gives plain data.
-SpeechModel = Callable[[], Callable[[str], list[tuple[float, float]]]]
-WordModel = Callable[[], Callable[[str, float, float], tuple[list[dict], str | None]]]
-TurnModel = Callable[[], Callable[[str], list[tuple[float, float, str]]]]
-ScoreModel = Callable[[], Callable[[str], tuple[float | None, float | None, float | None]]]
+#: What each factory makes of its settings, once in a worker, is called with paths and gives plain data.
+SpeechModel = Callable[[Vad], Callable[[str], list[tuple[float, float]]]]
+WordModel = Callable[[Asr], Callable[[str, float, float], tuple[list[dict], str | None]]]
+TurnModel = Callable[[Asr], Callable[[str], list[tuple[float, float, str]]]]
+ScoreModel = Callable[[Filter], Callable[[str], tuple[float | None, float | None, float | None]]]
 
 WORD = "struct<text:string,start:double,end:double>"
 
@@ -63,24 +69,34 @@ def per_row(df: DataFrame, load: Callable, call: Callable, columns: str) -> Data
 def superchunks_of(media_: DataFrame, models: Models, cfg: Config) -> DataFrame:
     """video_id, idx, start, end of each standardized file's speech."""
     call = lambda model, row: ([{"start": float(a), "end": float(b)} for a, b in model(row["standardized_path"])],)
-    heard = per_row(media_, models.speech, call, "regions array<struct<start:double,end:double>>")
+    heard = per_row(media_, partial(models.speech, cfg.vad), call, "regions array<struct<start:double,end:double>>")
     region = heard.select("video_id", "bound", F.posexplode("regions").alias("ridx", "r")).select("video_id", "bound", "ridx", "r.start", "r.end")
     merged = vad.force_split(vad.merge_regions(region, cfg.vad.max_superchunk_s, ["ridx"]), cfg.vad.max_superchunk_s)
     bounded = merged.join(media_.select("video_id", "bound"), "video_id")
     return vad.pad_overlap(bounded, cfg.vad.overlap_s, F.col("bound"), ["cidx", "piece"]).select("video_id", "idx", "start", "end")
 
 
-def words_of(chunks: DataFrame, media_: DataFrame, models: Models) -> DataFrame:
-    """video_id, chunk_idx, chunk_start, chunk_end, language, words (chunk time) or error."""
+def words_of(chunks: DataFrame, media_: DataFrame, models: Models, cfg: Config, known: DataFrame) -> DataFrame:
+    """video_id, chunk_idx, chunk_start, chunk_end, language, words (chunk time) or error.
+
+    Chunks that ``known`` has as DONE, with the same bounds, aren't heard again.
+    """
     placed = chunks.select("video_id", F.col("idx").alias("chunk_idx"), F.col("start").alias("chunk_start"), F.col("end").alias("chunk_end"))
-    with_path = placed.join(media_.select("video_id", "standardized_path"), "video_id")
+    stored = known.where("status = 'DONE'").select(
+        "video_id", F.col("idx").alias("chunk_idx"), F.col("start_s").alias("chunk_start"), F.col("end_s").alias("chunk_end"), words_payload(F.col("words_json")).alias("p")
+    )
+    keys = ["video_id", "chunk_idx", "chunk_start", "chunk_end"]
+    kept = F.transform("p.words", lambda w: F.struct(w["text"].alias("text"), w["start"].alias("start"), w["end"].alias("end")))
+    again = placed.join(stored, keys).select(*keys, F.coalesce(kept, F.array().cast(f"array<{WORD}>")).alias("words"), "p.language", F.lit(None).cast("string").alias("error"))
+    fresh = placed.join(stored, keys, "left_anti").join(media_.select("video_id", "standardized_path"), "video_id")
     call = lambda model, row: model(row["standardized_path"], row["chunk_start"], row["chunk_end"])
-    return per_row(with_path, models.words, call, f"words array<{WORD}>, language string")
+    heard = per_row(fresh, partial(models.words, cfg.asr), call, f"words array<{WORD}>, language string")
+    return heard.select(*again.columns).unionByName(again)
 
 
-def turns_of(media_: DataFrame, models: Models) -> DataFrame:
+def turns_of(media_: DataFrame, models: Models, cfg: Config) -> DataFrame:
     call = lambda model, row: ([{"start": float(a), "end": float(b), "speaker": s} for a, b, s in model(row["standardized_path"])],)
-    found = per_row(media_.select("video_id", "standardized_path"), models.turns, call, "turns array<struct<start:double,end:double,speaker:string>>")
+    found = per_row(media_.select("video_id", "standardized_path"), partial(models.turns, cfg.asr), call, "turns array<struct<start:double,end:double,speaker:string>>")
     return found.select("video_id", F.posexplode("turns").alias("tidx", "t")).select("video_id", "tidx", "t.start", "t.end", "t.speaker")
 
 
@@ -89,13 +105,13 @@ def segment_videos(heard: DataFrame, spoken: DataFrame | None, cfg: Config) -> D
     timed = F.filter("words", lambda w: w["start"].isNotNull() & w["end"].isNotNull())
     one = heard.where("error is null").select("video_id", "chunk_idx", "chunk_start", "chunk_end", F.posexplode_outer(timed).alias("widx", "w"))
     shifted = one.select(
-        "video_id", "chunk_idx", "chunk_start", "chunk_end", "widx", F.trim(F.coalesce("w.text", F.when(F.col("widx").isNotNull(), ""))).alias("text"),
+        "video_id", "chunk_idx", "chunk_start", "chunk_end", "widx", strip(F.coalesce("w.text", F.when(F.col("widx").isNotNull(), ""))).alias("text"),
         (F.col("w.start") + F.col("chunk_start")).alias("start"), (F.col("w.end") + F.col("chunk_start")).alias("end"),
         F.lit(None).cast("string").alias("speaker"), F.lit(False).alias("overlap"),
     )
     if spoken is not None:
         keyed = shifted.withColumn("key", F.struct("chunk_idx", "widx"))
-        named = turns.assign_speakers(keyed, spoken, fill_nearest=cfg.asr.fill_nearest, key="key")
+        named = turns.assign_speakers(keyed, spoken, fill_nearest=cfg.asr.diarize_fill_nearest, key="key")
         shifted = turns.flag_overlap(named, turns.overlap_regions(spoken), key="key").drop("key")
     ready = heard.groupBy("video_id").agg(F.bool_and(F.col("error").isNull()).alias("ok")).where("ok").select("video_id")
     stream = rechunk.merge_superchunks(shifted.join(ready, "video_id", "left_semi"))
@@ -121,52 +137,66 @@ def run(spark: SparkSession, cfg: Config, models: Models) -> dict[str, int]:
     else:
         urls = spark.createDataFrame([(u,) for u in cfg.sources.video_urls], "url string")
         channels = spark.createDataFrame([(c,) for c in cfg.sources.channels], "channel string")
-        found = media.discover_sources(urls, channels, models.listing)
+        d = cfg.discover
+        found = media.discover_sources(urls, channels, models.listing, max_concurrency=d.max_concurrency, delay_s=d.request_delay_s)
     found = keep(found, "sources")
     store.add("videos", found.where("error is null").select("video_id", "channel", "url", "source_rank"), "source_rank")
-    chunks = store.read("superchunks")
-    waiting = store.read("videos").join(
-        jobstore.all_done(chunks).where("ready").select("video_id"), "video_id", "left_anti"
-    ).where("status <> 'FAILED' and not (status = 'DONE' and raw_path is not null and error is null)")
+    waiting = store.read("videos").where("status in ('PENDING', 'RUNNING')")
     videos = keep(waiting.select("video_id", "channel", "url"), "videos")
+    store.update("videos", videos.select("video_id", F.lit("RUNNING").alias("status")))
     if cfg.sources.local_dir:
         got = media.local_results(videos).withColumn("duration_s", F.lit(None).cast("double"))
     else:
-        got = media.download(videos.withColumn("error", F.lit(None).cast("string")), cfg.paths.raw_dir, models.runner, cfg.download.audio_format)
+        d = cfg.download
+        got = media.download(
+            videos.withColumn("error", F.lit(None).cast("string")), f"{work}/raw", models.runner, audio_format=d.audio_format,
+            rate_limit=d.rate_limit, timeout_s=d.timeout_s, max_concurrency=d.max_concurrency,
+        )
     got = keep(got, "media")
     std = keep(media.standardize(got.where("error is null"), work, models.runner, cfg.standardize.sample_rate), "standardized")
     probed = std.where("error is null").drop("error").join(got.select("video_id", "raw_path", "duration_s"), "video_id")
-    seconds = F.udf(lambda p: media.probe_duration(p, models.runner), "double")
-    media_ = keep(probed.withColumn("bound", vad.clamp_duration(seconds("standardized_path"), F.col("duration_s"))), "probed")
+    measured = media.with_duration(probed, "standardized_path", models.runner)
+    media_ = keep(measured.withColumn("bound", vad.clamp_duration(F.col("probed_s"), F.col("duration_s"))).drop("probed_s"), "probed")
     supers = keep(superchunks_of(media_, models, cfg), "superchunks")
-    heard = keep(words_of(supers, media_, models), "words")
-    spoken = keep(turns_of(media_, models), "turns") if cfg.asr.diarize and models.turns else None
+    heard = keep(words_of(supers, media_, models, cfg, store.read("superchunks")), "words")
+    spoken = keep(turns_of(media_, models, cfg), "turns") if cfg.asr.diarize and models.turns else None
     segments = keep(segment_videos(heard, spoken, cfg), "segments")
 
-    failed = got.where("error is not null").select("video_id", "error").unionByName(std.where("error is not null").select("video_id", "error"))
-    good = media_.select("video_id", "raw_path", "standardized_path", F.col("duration_s"), F.lit("DONE").alias("status"), F.lit(None).cast("string").alias("error"))
-    store.update("videos", good)
-    store.update("videos", failed.select("video_id", "error", F.lit("FAILED").alias("status")))
-    store.add("superchunks", heard.select(
+    store.put("superchunks", heard.select(
         "video_id", F.col("chunk_idx").alias("idx"), F.col("chunk_start").alias("start_s"), F.col("chunk_end").alias("end_s"),
         F.to_json(F.struct("words", "language")).alias("words_json"), F.when(F.col("error").isNull(), "DONE").otherwise("FAILED").alias("status"), "error",
-    ))
+    ), without=supers.select("video_id").distinct())
 
     sliced = keep(slice_all(segments.join(media_.select("video_id", "raw_path"), "video_id"), cfg, models.runner), "sliced")
     cut = sliced.where("slice_error is null").withColumn("duration", F.col("end") - F.col("start"))
-    score = (lambda df: quality.score_by_windows(df, models.score)) if models.score else (
+    score = (lambda df: quality.score_by_windows(df, partial(models.score, cfg.filter))) if models.score else (
         lambda df: df.withColumns({c: F.lit(None).cast("double") for c in ("sig", "bak", "ovr")})
     )
     judged = keep(quality.filter_segments(cut, cfg.filter, score), "judged")
+    files.remove_files(judged.where("not passed").select("audio_path"))
     docs = package.documents(judged.where("passed"), store.read("videos"))
     files.write_documents(docs, cfg.paths.output_dir)
     outcome = F.when(F.col("passed"), "DONE").otherwise("FAILED")
-    store.add("segments", judged.select(
-        "video_id", "idx", F.format_string("%s_%05d", "video_id", "idx").alias("segment_id"), F.col("start").alias("start_s"), F.col("end").alias("end_s"),
+    failed_cuts = sliced.where("slice_error is not null").select("*", F.lit(False).alias("passed"), F.lit(None).cast("double").alias("dnsmos_ovr"), F.col("slice_error").alias("why"))
+    every = judged.withColumn("why", F.concat(F.lit("filtered: "), "reason")).select(failed_cuts.columns).unionByName(failed_cuts)
+    name = segment_id(F.col("video_id"), F.col("idx"))
+    out = F.lit(cfg.paths.output_dir.rstrip("/") + "/")
+    store.put("segments", every.select(
+        "video_id", "idx", name.alias("segment_id"), F.col("start").alias("start_s"), F.col("end").alias("end_s"),
         "text", F.to_json("words").alias("words_json"), "speaker", F.col("exceeds_max_duration").cast("int").alias("exceeds_max_duration"),
-        "dnsmos_ovr", F.when(F.col("passed"), F.col("audio_path")).alias("output_audio_path"), outcome.alias("status"),
-        F.when(~F.col("passed"), F.concat(F.lit("filtered: "), "reason")).alias("error"),
-    ))
+        "dnsmos_ovr", F.when(F.col("passed"), F.col("audio_path")).alias("output_audio_path"),
+        F.when(F.col("passed"), F.concat(out, name, F.lit(".json"))).alias("output_json_path"), outcome.alias("status"),
+        F.when(~F.col("passed"), F.col("why")).alias("error"),
+    ), without=segments.select("video_id").distinct())
+
+    # last: only now is a video done, and one with a failed chunk waits for the next run
+    failed = got.where("error is not null").select("video_id", "error").unionByName(std.where("error is not null").select("video_id", "error"))
+    broken = heard.where("error is not null").select("video_id").distinct().withColumn("__broken", F.lit(True))
+    ended = media_.join(broken, "video_id", "left").select(
+        "video_id", "raw_path", "standardized_path", "duration_s", F.when(F.col("__broken"), "PENDING").otherwise("DONE").alias("status"), F.lit(None).cast("string").alias("error")
+    )
+    store.update("videos", ended)
+    store.update("videos", failed.select("video_id", "error", F.lit("FAILED").alias("status")))
     return {r["status"]: r["n"] for r in store.read("segments").groupBy("status").agg(F.count("*").alias("n")).collect()}
 
 
@@ -191,9 +221,14 @@ def slice_all(segments: DataFrame, cfg: Config, runner: Runner) -> DataFrame:
                 error = None
                 if not Path(path).exists():
                     Path(path).parent.mkdir(parents=True, exist_ok=True)
-                    got = runner(command)
-                    error = (got.err.strip() or f"code {got.code}") if got.code else None
-                    if not error and Path(f"{path}.tmp").exists():
+                    try:
+                        got = runner(command, None)
+                        error = (got.err.strip() or f"code {got.code}") if got.code else None
+                    except Exception as e:  # noqa: BLE001  a row's failure is data
+                        error = str(e)
+                    if error:
+                        Path(f"{path}.tmp").unlink(missing_ok=True)
+                    elif Path(f"{path}.tmp").exists():
                         Path(f"{path}.tmp").replace(path)
                 errors.append(error)
             kept = batch.drop_columns(["slice_args"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterframe import fixtures as fx
-from utterframe.config import Filter
+from utterframe.config import Filter, cost_of
 from utterframe.functions import text as tx
 from utterframe.operators import browse, jobstore, package, quality
 from utterframe.operators.order import numbered
@@ -122,10 +122,11 @@ def segment_label(spark: SparkSession, sf: str) -> DataFrame:
     return browse.labelled(_segments(spark, sf).withColumnRenamed("ovr", "dnsmos_ovr")).select("segment_id", "label")
 
 
-@query(f"""SELECT segment_id, concat_ws('  ' || chr(10), '**segment:** ' || segment_id, '**video:** ' || CAST(video_id AS VARCHAR), '**speaker:** ' || {_UNKNOWN},
-    '**duration:** ' || printf('%.2f', duration) || 's', CASE WHEN language <> '' THEN '**language:** ' || language END,
-    CASE WHEN ovr IS NOT NULL THEN '**dnsmos_ovr:** ' || printf('%.2f', ovr) END, CASE WHEN exceeds_max_duration THEN 'exceeds max duration' END,
-    CASE WHEN has_overlap THEN 'has overlapping speech' END) AS info FROM {_SEGMENTS}""")
+@query(f"""SELECT segment_id, '**' || segment_id || '**' || '  ' || chr(10) || 'video: `' || CAST(video_id AS VARCHAR) || '`' || '  ' || chr(10)
+    || 'speaker: `' || {_UNKNOWN} || '`' || '  ' || chr(10) || 'duration: ' || printf('%.2f', duration) || 's'
+    || CASE WHEN ovr IS NULL THEN '' ELSE '  ' || chr(10) || 'dnsmos_ovr: ' || printf('%.2f', ovr) END
+    || CASE WHEN coalesce(language, '') = '' THEN '' ELSE '  ' || chr(10) || 'language: ' || language END
+    || CASE WHEN exceeds_max_duration THEN '  ' || chr(10) || '**exceeds_max_duration**' ELSE '' END AS info FROM {_SEGMENTS}""")
 def segment_info(spark: SparkSession, sf: str) -> DataFrame:
     docs = _segments(spark, sf).withColumnRenamed("ovr", "dnsmos_ovr").withColumn("video_id", F.col("video_id").cast("string"))
     return browse.with_info(docs).select("segment_id", "info")
@@ -176,10 +177,8 @@ def filter_speakers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(trunc(CASE event_type WHEN 'purchase' THEN 60000000.0 WHEN 'click' THEN 3000000.0 ELSE 0 END * greatest(event_id % 50 - 5, 0)) AS BIGINT) AS cost FROM events")
 def estimate_cost(spark: SparkSession, sf: str) -> DataFrame:
-    costs = F.create_map(F.lit("purchase"), F.lit(6e7), F.lit("click"), F.lit(3e6))
-    per_second = F.coalesce(F.try_element_at(costs, F.col("event_type")), F.lit(0.0))
-    seconds = F.greatest(F.col("event_id") % 50 - 5, F.lit(0))
-    return fx.table(spark, sf, "events").select("event_id", (per_second * seconds).cast("long").alias("cost"))
+    cost = cost_of(F.col("event_type"), F.col("event_id") % 50 - 5, {"purchase": 6e7, "click": 3e6})
+    return fx.table(spark, sf, "events").select("event_id", cost.alias("cost"))
 
 
 # job state: orders are videos, their lines chunks

@@ -142,19 +142,10 @@ def drop_untimed(spark: SparkSession, sf: str) -> DataFrame:
 def words_json_parse(spark: SparkSession, sf: str) -> DataFrame:
     word = F.array(F.struct(F.col("event_type").alias("text")))
     stored = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(word.alias("words"), F.lit("en").alias("language")))).otherwise(F.to_json(word))
-    parsed = fx.table(spark, sf, "events").select("event_id", words_payload(stored).alias("p"))
+    parsed = fx.table(spark, sf, "events").select("event_id", turns.words_payload(stored).alias("p"))
     return parsed.select("event_id", F.get("p.words", F.lit(0))["text"].alias("first_word"), "p.language")
 
 
-def words_payload(stored):
-    """Struct (words, language) of a stored payload: an object, or a bare list of words as older runs wrote it."""
-    word = "text: string, start: double, end: double, speaker: string, overlap: boolean"
-    as_object = F.from_json(stored, f"words array<struct<{word}>>, language string")
-    as_list = F.from_json(stored, f"array<struct<{word}>>")
-    is_list = F.startswith(F.ltrim(stored), F.lit("["))
-    return F.when(is_list, F.struct(as_list.alias("words"), F.lit(None).cast("string").alias("language"))).otherwise(as_object)
-
-
 # voice activity
 
 _MERGED = """WITH RECURSIVE r AS (SELECT video_id, "start" s, "end" e, row_number() OVER (PARTITION BY video_id ORDER BY "start", ridx) i FROM """ + fx.REGIONS_SQL + f"""),
@@ -219,9 +210,11 @@ def overlap_regions(spark: SparkSession, sf: str) -> DataFrame:
     return turns.overlap_regions(fx.turns(spark, sf))
 
 
-_ASSIGNED = """best AS (SELECT w.video_id, w.widx, arg_min(t.speaker, struct_pack(o := -(least(w."end", t."end") - greatest(w.start, t.start)), x := t.tidx)) AS speaker
-    FROM w JOIN t ON w.video_id = t.video_id AND w.start < t."end" AND t.start < w."end" AND least(w."end", t."end") - greatest(w.start, t.start) > 0 GROUP BY 1, 2)"""
-_WORDS_AND_TURNS = "WITH w AS (SELECT * FROM " + fx.WORDS_SQL + "), t AS (SELECT * FROM " + fx.TURNS_SQL + "), " + _ASSIGNED
+# the video is the only join key; what the spans must meet is opaque to the planner, which else picks a range join
+_WORDS_AND_TURNS = "WITH w AS MATERIALIZED (SELECT * FROM " + fx.WORDS_SQL + "), t AS MATERIALIZED (SELECT * FROM " + fx.TURNS_SQL + """),
+  m AS (SELECT w.video_id, w.widx, t.speaker, t.tidx, least(w."end", t."end") - greatest(w.start, t.start) AS o FROM w JOIN t ON w.video_id = t.video_id),
+  best AS MATERIALIZED (SELECT video_id, widx, speaker FROM m WHERE CASE WHEN o > 0 THEN true ELSE false END
+    QUALIFY row_number() OVER (PARTITION BY video_id, widx ORDER BY o DESC, tidx) = 1)"""
 
 
 @query(_WORDS_AND_TURNS + " SELECT w.video_id, w.widx, b.speaker FROM w LEFT JOIN best b ON w.video_id = b.video_id AND w.widx = b.widx")
@@ -229,8 +222,9 @@ def assign_speakers(spark: SparkSession, sf: str) -> DataFrame:
     return turns.assign_speakers(fx.words(spark, sf), fx.turns(spark, sf)).select("video_id", "widx", "speaker")
 
 
-@query(_WORDS_AND_TURNS + """, near AS (SELECT w.video_id, w.widx, arg_min(t.speaker, struct_pack(d := abs((t.start + t."end") - (w.start + w."end")), x := t.tidx)) AS speaker
-      FROM w ANTI JOIN best USING (video_id, widx) JOIN t ON w.video_id = t.video_id GROUP BY 1, 2)
+@query(_WORDS_AND_TURNS + """, away AS (SELECT w.video_id, w.widx, t.speaker, t.tidx, abs((t.start + t."end") - (w.start + w."end")) AS d
+      FROM w ANTI JOIN best USING (video_id, widx) JOIN t ON w.video_id = t.video_id),
+    near AS (SELECT video_id, widx, speaker FROM away QUALIFY row_number() OVER (PARTITION BY video_id, widx ORDER BY d, tidx) = 1)
     SELECT w.video_id, w.widx, coalesce(b.speaker, n.speaker) AS speaker FROM w
     LEFT JOIN best b ON w.video_id = b.video_id AND w.widx = b.widx LEFT JOIN near n ON w.video_id = n.video_id AND w.widx = n.widx""")
 def assign_speakers_nearest(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,17 +252,20 @@ def _chunked(spark: SparkSession, sf: str) -> DataFrame:
     return inside.withColumns({"start": F.col("start") + late, "end": F.col("end") + late, "overlap": F.lit(False)})
 
 
-_CHUNKED = f"""WITH w AS (SELECT * FROM {fx.WORDS_SQL}),
+_CHUNKED = f"""WITH w AS MATERIALIZED (SELECT * FROM {fx.WORDS_SQL}),
   c AS (SELECT w.*, CAST(unnest(range(greatest(0, (w.start - {SEAM})//{CAP}), (w."end" + {SEAM})//{CAP} + 1)) AS INTEGER) AS chunk_idx FROM w),
   h AS (SELECT *, greatest(0, chunk_idx*{CAP} - {SEAM}) AS chunk_start, (chunk_idx+1)*{CAP} + {SEAM} AS chunk_end FROM c),
-  k AS (SELECT video_id, widx, text, lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}_]', '', 'g')) AS form, chunk_idx, chunk_start, chunk_end,
+  k AS MATERIALIZED (SELECT video_id, widx, text, speaker, lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}_]', '', 'g')) AS form, chunk_idx, chunk_start, chunk_end,
       h.start + chunk_idx % 2 * (widx % 40) AS s, h."end" + chunk_idx % 2 * (widx % 40) AS e FROM h WHERE h.start >= chunk_start AND h."end" <= chunk_end),
-  pair AS (SELECT a.video_id, a.chunk_idx ca, a.widx wa, b.chunk_idx cb, b.widx wb,
-      least(a.s - a.chunk_start, a.chunk_end - a.e) >= least(b.s - b.chunk_start, b.chunk_end - b.e) AS first_stays
-    FROM k a JOIN k b ON a.video_id = b.video_id AND b.chunk_idx = a.chunk_idx + 1 AND a.form = b.form AND a.e > b.chunk_start AND b.s < a.chunk_end
-      AND greatest(0, least(a.e, b.e) - greatest(a.s, b.s)) / CAST(greatest(a.e, b.e) - least(a.s, b.s) AS DOUBLE) > 0.4),
-  gone AS (SELECT video_id, CASE WHEN first_stays THEN cb ELSE ca END AS chunk_idx, CASE WHEN first_stays THEN wb ELSE wa END AS widx FROM pair),
-  merged AS (SELECT * FROM k ANTI JOIN gone USING (video_id, chunk_idx, widx))"""
+  lead_in AS MATERIALIZED (SELECT *, chunk_idx + 1 AS following FROM k WHERE e > (chunk_idx+1)*{CAP} - {SEAM}),
+  later AS MATERIALIZED (SELECT * FROM k WHERE s < chunk_idx*{CAP} + {SEAM}),
+  met AS (SELECT a.video_id, a.chunk_idx ca, a.widx wa, b.chunk_idx cb, b.widx wb,
+      least(a.s - a.chunk_start, a.chunk_end - a.e) >= least(b.s - b.chunk_start, b.chunk_end - b.e) AS first_stays,
+      greatest(0, least(a.e, b.e) - greatest(a.s, b.s)) / CAST(greatest(a.e, b.e) - least(a.s, b.s) AS DOUBLE) AS iou
+    FROM lead_in a JOIN later b ON a.video_id = b.video_id AND b.chunk_idx = a.following AND a.form = b.form),
+  pair AS (SELECT * FROM met WHERE CASE WHEN iou > 0.4 THEN true ELSE false END),
+  gone AS MATERIALIZED (SELECT video_id, CASE WHEN first_stays THEN cb ELSE ca END AS chunk_idx, CASE WHEN first_stays THEN wb ELSE wa END AS widx FROM pair),
+  merged AS MATERIALIZED (SELECT k.* FROM k ANTI JOIN gone USING (video_id, chunk_idx, widx))"""
 
 
 @query(_CHUNKED + ' SELECT video_id, chunk_idx, text, s AS "start", e AS "end" FROM merged')
@@ -356,7 +353,49 @@ def rechunk_videos(spark: SparkSession, sf: str) -> DataFrame:
     return segments.select("video_id", "start", "end")
 
 
-@query()
+# by speaker: packing knows the voice of the open segment (v); merging needs the leading voice of any run of packed
+# segments that fits the cap, which is counted for all such runs beforehand
+_VOICES = """(SELECT {by}, arg_max(speaker, struct_pack(n := n, f := -f)) AS v FROM
+    (SELECT {by}, speaker, count(*) n, min(widx) f FROM {src} WHERE speaker <> '' GROUP BY ALL) GROUP BY {by})"""
+_BY_SPEAKER = _CHUNKED.replace("WITH w", "WITH RECURSIVE w") + f""",
+  st AS MATERIALIZED (SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY s, e) - 1 AS widx, text, s AS "start", e AS "end", speaker FROM merged),
+  l AS (SELECT *, lead("start") OVER p nx, lead(speaker) OVER p ns FROM st WINDOW p AS (PARTITION BY video_id ORDER BY widx)),
+  b AS (SELECT *, right(text,1) IN ('.','!','?','。','…','؟','।') OR nx IS NULL OR nx-"end">={GAP} OR coalesce(speaker<>ns, false) AS boundary FROM l),
+  g AS MATERIALIZED (SELECT *, CAST(coalesce(sum(CAST(boundary AS INTEGER)) OVER (PARTITION BY video_id ORDER BY widx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) sid FROM b),
+  sv AS ({_VOICES.format(by="video_id, sid", src="g")}),
+  se AS MATERIALIZED (SELECT video_id, sid, s, e, v, row_number() OVER (PARTITION BY video_id ORDER BY sid) i
+      FROM (SELECT video_id, sid, arg_min("start", widx) s, arg_max("end", widx) e FROM g GROUP BY video_id, sid) LEFT JOIN sv USING (video_id, sid)),
+  pk AS (SELECT video_id, i, sid, s AS cs, e, v AS cv, 0 AS seg FROM se WHERE i = 1
+    UNION ALL SELECT video_id, i, sid, CASE WHEN cut THEN s ELSE cs END, e, CASE WHEN cut OR cv IS NULL THEN v ELSE cv END, CASE WHEN cut THEN seg + 1 ELSE seg END
+    FROM (SELECT se.*, pk.cs, pk.cv, pk.seg, se.e - pk.cs > {LONGEST} OR coalesce(se.v <> pk.cv, false) AS cut FROM pk JOIN se ON se.video_id = pk.video_id AND se.i = pk.i + 1)),
+  ws AS MATERIALIZED (SELECT g.*, pk.seg FROM g JOIN pk USING (video_id, sid)),
+  sg AS MATERIALIZED (SELECT video_id, seg, arg_min("start", widx) s, arg_max("end", widx) e, max(max(seg)) OVER (PARTITION BY video_id) + 1 AS n FROM ws GROUP BY video_id, seg),
+  run AS MATERIALIZED (SELECT video_id, seg AS lo, seg AS hi, s, e FROM sg
+    UNION ALL SELECT r.video_id, r.lo, r.hi + 1, r.s, sg.e FROM run r JOIN sg ON sg.video_id = r.video_id AND sg.seg = r.hi + 1 WHERE sg.e - r.s <= {LONGEST}),
+  members AS (SELECT video_id, lo, hi, unnest(range(lo, hi + 1)) AS seg FROM run),
+  named AS (SELECT m.video_id, m.lo, m.hi, ws.speaker, ws.widx FROM members m JOIN ws ON ws.video_id = m.video_id AND ws.seg = m.seg),
+  rv AS ({_VOICES.format(by="video_id, lo, hi", src="named")}),
+  rn AS MATERIALIZED (SELECT run.video_id, lo, hi, run.s, run.e, v FROM run LEFT JOIN rv USING (video_id, lo, hi)),
+  f AS (SELECT video_id, 0 AS k, n, CAST(NULL AS INTEGER) AS ll, CAST(NULL AS INTEGER) AS lh, 0 AS hl, 0 AS hh FROM sg WHERE seg = 0
+    UNION ALL SELECT video_id, k + 1, n, CASE WHEN back OR fwd THEN ll ELSE hl END, CASE WHEN back THEN hh WHEN fwd THEN lh ELSE hh END,
+      CASE WHEN fwd AND NOT back THEN hl ELSE k + 1 END, k + 1
+    FROM (SELECT f.*, f.n > 1 AND h.e - h.s < {SHORTEST} AND la.video_id IS NOT NULL AND coalesce(la.v = h.v, true) AS back,
+            f.n > 1 AND h.e - h.s < {SHORTEST} AND ha.video_id IS NOT NULL AND coalesce(h.v = nx.v, true) AS fwd
+          FROM (SELECT * FROM f WHERE k < n) f
+          LEFT JOIN rn h ON h.video_id = f.video_id AND h.lo = f.hl AND h.hi = f.hh
+          LEFT JOIN (SELECT a.video_id, a.lo, a.hi FROM rn a) lf ON lf.video_id = f.video_id AND lf.lo = f.ll AND lf.hi = f.hh
+          LEFT JOIN (SELECT video_id, lo, hi, v FROM rn) la ON la.video_id = lf.video_id AND la.lo = f.ll AND la.hi = f.lh
+          LEFT JOIN rn nx ON nx.video_id = f.video_id AND nx.lo = f.k + 1 AND nx.hi = f.k + 1
+          LEFT JOIN rn ha ON ha.video_id = f.video_id AND ha.lo = f.hl AND ha.hi = f.k + 1) f),
+  ends AS (SELECT video_id, ll AS lo, max(lh) AS hi, row_number() OVER (PARTITION BY video_id ORDER BY ll) - 1 AS idx FROM f WHERE ll IS NOT NULL GROUP BY video_id, ll),
+  whole AS MATERIALIZED (SELECT ws.*, ends.idx FROM ws JOIN (SELECT video_id, idx, unnest(range(lo, hi + 1)) AS seg FROM ends) ends ON ends.video_id = ws.video_id AND ends.seg = ws.seg),
+  wv AS ({_VOICES.format(by="video_id, idx", src="whole")})
+  SELECT w.video_id, CAST(w.idx AS INTEGER) AS idx, arg_min(w."start", widx) AS "start", arg_max(w."end", widx) AS "end", string_agg(text, ' ' ORDER BY widx) AS text,
+    any_value(wv.v) AS speaker, arg_max(w."end", widx) - arg_min(w."start", widx) > {LONGEST} AS exceeds_max_duration, false AS has_overlap
+  FROM whole w LEFT JOIN wv ON wv.video_id = w.video_id AND wv.idx = w.idx GROUP BY w.video_id, w.idx"""
+
+
+@query(_BY_SPEAKER)
 def rechunk_by_speaker(spark: SparkSession, sf: str) -> DataFrame:
     stream = rechunk.merge_superchunks(_chunked(spark, sf))
     segments = rechunk.rechunk(stream, gap=GAP, longest=LONGEST, shortest=SHORTEST)

@@ -52,10 +52,29 @@ def write_documents(docs: DataFrame, folder: str) -> int:
 
 
 def write_manifest(docs: DataFrame, path: str) -> int:
-    """A JSON line for each document in the order of paths, as a folder of ordered parts; returns how many."""
+    """One file with a JSON line for each document in the order of paths; returns how many.
+
+    Written as ordered parts, which are then joined: the lines pass through no task and no driver memory as a whole.
+    """
+    folder = f"{path}.parts"
     lines = docs.orderBy("path").select(F.to_json(F.struct(*[c for c in docs.columns if c != "path"]), {"ignoreNullFields": "false"}).alias("value"))
-    lines.write.mode("overwrite").text(path)
-    return docs.count()
+    lines.write.mode("overwrite").text(folder)
+    n = 0
+    with open(f"{path}.tmp", "wb") as out:
+        for part in sorted(Path(folder).glob("part-*")):
+            with open(part, "rb") as lines_of:
+                for line in lines_of:
+                    out.write(line)
+                    n += 1
+    os.replace(f"{path}.tmp", path)
+    _remove_folder(folder)
+    return n
+
+
+def _remove_folder(folder: str) -> None:
+    for left in Path(folder).iterdir():
+        left.unlink()
+    Path(folder).rmdir()
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -67,17 +86,32 @@ def write_csv(rows: DataFrame, path: str) -> None:
         write_text_atomically(path, ",".join(rows.columns) + "\r\n")
     else:
         os.replace(part, path)
-    for left in Path(folder).iterdir():
-        left.unlink()
-    Path(folder).rmdir()
+    _remove_folder(folder)
+
+
+def remove_files(paths: DataFrame) -> int:
+    """Deletes the files named by the only column, on the executors; returns how many were there."""
+    column = paths.columns[0]
+
+    def run(batches):
+        for pdf in batches:
+            gone = []
+            for p in map(Path, pdf[column]):
+                gone.append(p.exists())
+                p.unlink(missing_ok=True)
+            yield pdf.assign(gone=gone)[["gone"]]
+
+    return paths.mapInPandas(run, "gone boolean").where("gone").count()
 
 
-def remove_segments(folder: str, segment_ids: list[str]) -> int:
-    """Deletes every file of the given segments; returns how many segments had one."""
-    gone = 0
-    for name in segment_ids:
-        found = [p for p in Path(folder).glob(f"{name}.*")]
-        for p in found:
-            p.unlink()
-        gone += bool(found)
-    return gone
+def remove_segments(folder: str, segments: DataFrame) -> int:
+    """Deletes every file named after the segments in the column segment_id; returns how many segments had one.
+
+    The folder is listed once, by the driver; files meet the segments in a join and go on the executors.
+    """
+    spark = segments.sparkSession
+    listed = spark.createDataFrame([(p.stem, str(p)) for p in Path(folder).iterdir() if p.is_file()], "segment_id string, path string")
+    found = listed.join(segments.select("segment_id").distinct(), "segment_id")
+    n = found.select("segment_id").distinct().count()
+    remove_files(found.select("path"))
+    return n

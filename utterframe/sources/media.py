@@ -6,6 +6,7 @@ A failing row becomes an error row and never fails its neighbours.
 from __future__ import annotations
 
 import subprocess
+import time
 import wave
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -31,15 +32,27 @@ class Ran:
     err: str = ""
 
 
-Runner = Callable[[list[str]], Ran]
+#: Arguments and a timeout in seconds (None: none) -> what came of it.
+Runner = Callable[[list[str], float | None], Ran]
+#: How long listings and probes may take, in seconds.
+LISTING_TIMEOUT, PROBE_TIMEOUT = 300.0, 30.0
 
 
-def run_command(timeout: float | None = None) -> Runner:
-    def run(args: list[str]) -> Ran:
-        done = subprocess.run(args, capture_output=True, stdin=subprocess.DEVNULL, timeout=timeout, text=True)
-        return Ran(done.returncode, done.stdout, done.stderr)
+def run_command(args: list[str], timeout: float | None = None) -> Ran:
+    done = subprocess.run(args, capture_output=True, stdin=subprocess.DEVNULL, timeout=timeout, text=True)
+    return Ran(done.returncode, done.stdout, done.stderr)
 
-    return run
+
+def playlist(runner: Runner = run_command) -> Listing:
+    """Lists a channel's video ids by the usual tool."""
+
+    def listing(channel: str) -> list[str]:
+        got = runner(["yt-dlp", "--flat-playlist", "--print", "id", channel], LISTING_TIMEOUT)
+        if got.code:
+            raise RuntimeError(f"listing {channel} failed ({got.code}): {got.err.strip()}")
+        return got.out.splitlines()
+
+    return listing
 
 
 def video_id(url: Column, bare: str = rf"^{VIDEO_ID}$", link: str = IN_LINK) -> Column:
@@ -54,8 +67,11 @@ def ad_hoc(urls: DataFrame) -> DataFrame:
     return urls.select(found.alias("video_id"), F.lit(None).cast("string").alias("channel"), "url", error.alias("error"))
 
 
-def discover(channels: DataFrame, listing: Listing) -> DataFrame:
-    """video_id, channel, url, error: what each channel lists; a channel that fails is one error row."""
+def discover(channels: DataFrame, listing: Listing, *, max_concurrency: int = 3, delay_s: float = 0.0) -> DataFrame:
+    """video_id, channel, url, error: what each channel lists; a channel that fails is one error row.
+
+    At most ``max_concurrency`` channels are listed at a time, each task waiting ``delay_s`` after each.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -65,15 +81,17 @@ def discover(channels: DataFrame, listing: Listing) -> DataFrame:
                     rows += [(v, channel, WATCH_URL + v, None) for v in (x.strip() for x in listing(channel)) if v]
                 except Exception as e:  # noqa: BLE001  every failure of a channel is data
                     rows.append((None, channel, None, str(e)))
+                time.sleep(delay_s)
             yield pd.DataFrame(rows, columns=["video_id", "channel", "url", "error"], dtype=object)
 
-    return channels.select("channel").mapInPandas(run, "video_id string, channel string, url string, error string")
+    dealt = channels.select("channel").repartition(max_concurrency)
+    return dealt.mapInPandas(run, "video_id string, channel string, url string, error string")
 
 
-def discover_sources(urls: DataFrame, channels: DataFrame, listing: Listing) -> DataFrame:
+def discover_sources(urls: DataFrame, channels: DataFrame, listing: Listing, *, max_concurrency: int = 3, delay_s: float = 0.0) -> DataFrame:
     """Single links first, then channels, by source_rank; duplicates stay, the job store drops them."""
     one = ad_hoc(urls).withColumn("source_rank", F.lit(0))
-    return one.unionByName(discover(channels, listing).withColumn("source_rank", F.lit(1)))
+    return one.unionByName(discover(channels, listing, max_concurrency=max_concurrency, delay_s=delay_s).withColumn("source_rank", F.lit(1)))
 
 
 def parse_duration(text: Column) -> Column:
@@ -81,25 +99,38 @@ def parse_duration(text: Column) -> Column:
     return F.trim(text).try_cast("double")
 
 
-def download(videos: DataFrame, folder: str, runner: Runner, audio_format: str = "bestaudio", fmt_probe: Runner | None = None) -> DataFrame:
-    """video_id, channel, raw_path, duration_s, error: fetches each video; the last printed line is the file."""
+def download_arguments(url: str, video_id: str, folder: str, audio_format: str, rate_limit: str | None = None) -> list[str]:
+    """The best audio, converted, its path printed."""
+    limit = ["--limit-rate", rate_limit] if rate_limit else []
+    return [
+        "yt-dlp", "-f", "bestaudio/best", "-x", "--audio-format", audio_format, "--no-keep-video", "--no-playlist",
+        "-o", f"{folder}/{video_id}.%(ext)s", "--print", "after_move:filepath", *limit, url,
+    ]
+
+
+def download(
+    videos: DataFrame, folder: str, runner: Runner, *, audio_format: str = "m4a", rate_limit: str | None = None,
+    timeout_s: float | None = 900, max_concurrency: int = 5,
+) -> DataFrame:
+    """video_id, channel, raw_path, duration_s, error: fetches each video, at most ``max_concurrency`` at a time, and
+    probes it; the last printed line is the file. ``folder`` must be a path that all machines share."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Path(folder).mkdir(parents=True, exist_ok=True)
         for pdf in batches:
             rows = []
             for v, channel, url in zip(pdf["video_id"], pdf["channel"], pdf["url"], strict=True):
                 try:
-                    got = runner(["yt-dlp", "-f", audio_format, "--no-playlist", "--print", "after_move:filepath", "-o", f"{folder}/%(id)s.%(ext)s", url])
-                    lines = [line for line in got.out.splitlines() if line.strip()]
+                    got = runner(download_arguments(url, v, folder, audio_format, rate_limit), timeout_s)
+                    lines = [line.strip() for line in got.out.splitlines() if line.strip()]
                     if got.code or not lines:
                         raise RuntimeError(got.err.strip() or f"no file (code {got.code})")
-                    path = lines[-1].strip()
-                    rows.append((v, channel, path, probe_duration(path, fmt_probe) if fmt_probe else None, None))
+                    rows.append((v, channel, lines[-1], probe_duration(lines[-1], runner), None))
                 except Exception as e:  # noqa: BLE001
                     rows.append((v, channel, None, None, str(e)))
             yield pd.DataFrame(rows, columns=["video_id", "channel", "raw_path", "duration_s", "error"]).astype({"duration_s": "float64"})
 
-    wanted = videos.where("error is null").select("video_id", "channel", "url")
+    wanted = videos.where("error is null").select("video_id", "channel", "url").repartition(max_concurrency)
     return wanted.mapInPandas(run, "video_id string, channel string, raw_path string, duration_s double, error string")
 
 
@@ -109,12 +140,23 @@ def probe_duration(path: str, runner: Runner) -> float | None:
         if path.lower().endswith(".wav") and Path(path).exists():
             with wave.open(path) as w:
                 return w.getnframes() / w.getframerate()
-        got = runner(["ffprobe", "-v", "error", "-show_entries", "format=duration", "-of", "default=nw=1:nk=1", path])
+        got = runner(["ffprobe", "-v", "error", "-show_entries", "format=duration", "-of", "default=nw=1:nk=1", path], PROBE_TIMEOUT)
         return float(got.out.strip()) if got.code == 0 else None
     except Exception:  # noqa: BLE001
         return None
 
 
+def with_duration(df: DataFrame, path_col: str, runner: Runner, alias: str = "probed_s") -> DataFrame:
+    """Adds the probed seconds of each file, null where the probe fails."""
+    from pyspark.sql import types as T
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(**{alias: pd.Series([probe_duration(p, runner) for p in pdf[path_col]], index=pdf.index, dtype="float64")})
+
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField(alias, T.DoubleType())]))
+
+
 def standardize_arguments(raw: str, out: str, rate: int = 16000) -> list[str]:
     return ["ffmpeg", "-y", "-i", raw, "-ac", "1", "-ar", str(rate), "-c:a", "pcm_s16le", out]
 
@@ -128,7 +170,7 @@ def standardize(media: DataFrame, folder: str, runner: Runner, rate: int = 16000
             for v, raw in zip(pdf["video_id"], pdf["raw_path"], strict=True):
                 out = f"{folder}/{v}.wav"
                 try:
-                    got = runner(standardize_arguments(raw, out, rate))
+                    got = runner(standardize_arguments(raw, out, rate), None)
                     if got.code:
                         raise RuntimeError(got.err.strip() or f"code {got.code}")
                     rows.append((v, out, None))
