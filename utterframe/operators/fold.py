@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -60,3 +61,40 @@ def ordered_fold(df: DataFrame, key: str, order: list[Column | str], fold: Calla
             yield batch_of(rows)
 
     return df.repartition(F.col(key)).sortWithinPartitions(key, *order).mapInArrow(run, out)
+
+
+def ordered_labels(df: DataFrame, key: str, order: list[Column | str], columns: list[str], fold: Callable[[], Fold], alias: str) -> DataFrame:
+    """``df`` with the column ``alias``: what a fold gives for each row, in the rows' order, as the last of its tuples.
+
+    Only ``columns`` become Python rows; all others pass in Arrow's form, batch by batch, as soon as they are labelled.
+    """
+    ensure_importable(df.sparkSession)
+    out = T.StructType([*df.schema.fields, T.StructField(alias, T.IntegerType())])
+    names = out.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, current, first = fold(), None, True
+        waiting: deque[pa.RecordBatch] = deque()
+        labels: list[int] = []
+
+        def labelled() -> Iterator[pa.RecordBatch]:
+            while waiting and len(labels) >= waiting[0].num_rows:
+                batch = waiting.popleft()
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels[: batch.num_rows], pa.int32())], names=names)
+                del labels[: batch.num_rows]
+
+        for batch in batches:
+            waiting.append(batch)
+            for row in batch.select([key, *columns]).to_pylist():
+                if first or row[key] != current:
+                    if not first:
+                        labels += [r[-1] for r in state.end()]
+                    state.start()
+                    current, first = row[key], False
+                labels += [r[-1] for r in state.row(row)]
+            yield from labelled()
+        if not first:
+            labels += [r[-1] for r in state.end()]
+        yield from labelled()
+
+    return df.repartition(F.col(key)).sortWithinPartitions(key, *order).mapInArrow(run, out)
