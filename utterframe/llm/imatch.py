@@ -58,7 +58,8 @@ def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] =
     Counted by term, with partial sums before the shuffle; only the terms in the band, whose number is bounded, leave it.
     """
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    counted = texts.select(F.explode(terms(F.col("__text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # explode_outer: a plain explode would have the terms computed a second time, in a filter for empty arrays
+    counted = texts.select(F.explode_outer(terms(F.col("__text"))).alias("term")).where("term is not null").groupBy("term").agg(F.count("*").alias("df"))
     total = docs.count()
     least, most = max(2, math.ceil(total / math.exp(band[1]))), math.floor(total / math.exp(band[0]))
     found = [r["term"] for r in counted.where(F.col("df").between(least, most)).select("term").collect()]
@@ -69,47 +70,49 @@ def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] =
     return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<array<bigint>>")
 
 
-def fingerprint(text: Column, words: Column) -> Column:
-    """The signatures of a text, by the whole lexicon and level by level, as hexadecimal digits."""
+def signatures(text: Column, words: Column) -> Column:
+    """The signatures of a text as numbers: by the whole lexicon, then seed by seed and level by level, 0 for none."""
     mask = (F.size(words) - 1).cast("long")
     known = lambda t: F.array_contains(F.get(words, t.bitwiseAND(mask).cast("int")), t)
 
     def sparser(held: Column, seed: Column, level: int) -> Column:
         """Signatures of a seed from a level on; ``held`` are the text's terms in the lexicon before it."""
-        if level > LEVELS:
-            return F.lit("")
         inside = lambda t: F.shiftrightunsigned(F.xxhash64(t, seed), 64 - 2 * level) == 0
-        here = lambda held: F.concat(F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(held), 64 - 4 * PART)), PART, "0"), sparser(held, seed, level + 1))
-        none = F.lit("0" * PART * (LEVELS - level + 1))
+        own = lambda kept: F.array(F.shiftrightunsigned(F.xxhash64(kept), 64 - 4 * PART))
+        here = lambda kept: F.concat(own(kept), sparser(kept, seed, level + 1)) if level < LEVELS else own(kept)
+        none = F.array_repeat(F.lit(0).cast("long"), LEVELS - level + 1)
         return bind(F.filter(held, inside), lambda kept: F.when(F.size(kept) > 0, here(kept)).otherwise(none))
 
-    def all_signatures(held: Column) -> Column:
+    def every(held: Column) -> Column:
         seeds = F.transform(F.sequence(F.lit(1), F.lit(SEEDS)), lambda s: sparser(held, s, 1))
-        return F.concat(F.lpad(F.hex(F.xxhash64(held)), WHOLE, "0"), F.array_join(seeds, ""))
+        return F.concat(F.array(F.xxhash64(held)), F.flatten(seeds))
 
     def chosen(found: Column) -> Column:
         whole = F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(text)))
         return bind(F.filter(found, known), lambda kept: F.sort_array(F.when(F.size(kept) > 0, kept).otherwise(whole)))
 
-    return bind(bind(terms(text), chosen), all_signatures)
+    return bind(bind(terms(text), chosen), every)
+
+
+def as_text(found: Column) -> Column:
+    """The fingerprint: the signatures as hexadecimal digits."""
+    parts = F.transform(F.slice(found, 2, SEEDS * LEVELS), lambda x: F.lpad(F.hex(x), PART, "0"))
+    return F.concat(F.lpad(F.hex(F.get(found, F.lit(0))), WHOLE, "0"), F.array_join(parts, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: see the module's docstring."""
-    none = F.lit("0" * PART)
+    """0 to 1, from two texts' signatures: see the module's docstring."""
 
     def at_level(level: int) -> Column:
-        """Seeds that hold a term of either text, and those of them that agree."""
-        def add(acc: Column, seed: Column) -> Column:
-            place = seed * (LEVELS * PART) + (WHOLE + 1 + (level - 1) * PART)
-            x, y = F.substr(a, place, F.lit(PART)), F.substr(b, place, F.lit(PART))
-            held = (x != none) | (y != none)
-            return F.struct((acc["n"] + held.cast("int")).alias("n"), (acc["same"] + (held & (x == y)).cast("int")).alias("same"))
+        """Of the seeds that hold a term of either text 1000 each, and 1 for each that agrees."""
+        def add(n: Column, seed: Column) -> Column:
+            x, y = F.get(a, seed * LEVELS + level), F.get(b, seed * LEVELS + level)
+            return n + F.when(x == y, F.when(x != 0, 1001).otherwise(0)).otherwise(1000)
 
-        return F.aggregate(F.sequence(F.lit(0), F.lit(SEEDS - 1)), F.struct(F.lit(0).alias("n"), F.lit(0).alias("same")), add)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(SEEDS - 1)), F.lit(0), add)
 
-    whole = (F.substr(a, F.lit(1), F.lit(WHOLE)) == F.substr(b, F.lit(1), F.lit(WHOLE))).cast("double")
-    share = lambda least: lambda found: F.when(found["n"] >= least, found["same"] / found["n"])
+    whole = (F.get(a, F.lit(0)) == F.get(b, F.lit(0))).cast("double")
+    share = lambda least: lambda n: F.when(n >= 1000 * least, n % 1000 / F.floor(n / 1000))
     full = [bind(at_level(level), share(SEEDS // 2)) for level in range(LEVELS, 0, -1)]
     return F.when(a == b, 1.0).otherwise(F.coalesce(*full, bind(at_level(1), share(1)), whole))
 
@@ -117,7 +120,7 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame, text_col: str = "text", lexicon_of: DataFrame | None = None) -> DataFrame:
     """``docs`` with the column fingerprint; the lexicon is that of ``lexicon_of`` (docs, if none is given)."""
     words = lexicon(docs if lexicon_of is None else lexicon_of, text_col)
-    return docs.withColumn(free_name("fingerprint", docs.columns), fingerprint(F.coalesce(F.col(text_col), F.lit("")), words))
+    return docs.withColumn(free_name("fingerprint", docs.columns), as_text(signatures(F.coalesce(F.col(text_col), F.lit("")), words)))
 
 
 def range_bounds(docs: DataFrame, id_col: str) -> tuple[list, bool]:
@@ -169,13 +172,13 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints each text and its edited form, whose last quarter is the beginning of the next document."""
     words = lexicon(docs, text_col)
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marked = lambda df: df.withColumn("fingerprint", fingerprint(F.col("text"), words))
-    pairs = with_next(own, "doc_id", ["text"], ["text", "fingerprint"], marked)
+    marked = lambda df: df.withColumn("own", signatures(F.col("text"), words))
+    pairs = with_next(own, "doc_id", ["text"], ["text", "own"], marked)
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - quarter), F.substr(F.col("next.text"), F.lit(1), quarter))
-    out = pairs.withColumn("__edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("__edited"), words))
+    out = pairs.withColumn("__edited", edited).withColumn("other", signatures(F.col("__edited"), words))
     return out.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("__edited", 256).alias("edited_sha256"),
-        "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
+        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next.own")).alias("near_next"),
     )
