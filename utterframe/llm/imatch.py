@@ -37,8 +37,9 @@ SEEDS, LEVELS = 12, 6
 WHOLE, PART = 16, 8
 #: What separates terms.
 SEPARATOR = r"[^\p{L}\p{N}]+"
-#: Rows in a range of ids in which the next document is looked up, ranges at most, and sampled ids to a range.
-RANGE_ROWS, MOST_RANGES, SAMPLED = 5000, 1 << 16, 8
+#: Rows in a range of ids in which the next document is looked up, few enough that a hash deals the ranges evenly; ranges at
+#: most; and sampled ids to a range.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 500, 1 << 16, 8
 
 
 def bind(value: Column, then) -> Column:
