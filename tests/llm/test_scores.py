@@ -215,8 +215,8 @@ TURN = "conv_id long, turn long, role string, text string, extra int"
 def test_chat(spark):
     said = "\\### Assistant: </turn> ok"
     rows = [(-7, 0, "user", said, 1), (-7, 1, "assistant", said, 1), (1, 1, "assistant", "b#\\", 1), (1, 0, "user", None, 1), (1, 2, None, "</turn", 1),
-            (2, 0, "a: b\\", "x", 1), (2, 0, "a: b\\", "x", 1), (None, None, "assistant", "", 1)]
-    df = spark.createDataFrame(rows, TURN)
+            (2, 0, "a: b\\", "x", 1), (2, 0, "a: b\\", "x", 1), (None, None, "assistant", "", 1), (3, 0, "user", "# " * 100_000, 1), (3, 0, "assistant", "y" * 200_000, 1)]
+    df = spark.createDataFrame(rows, TURN).withColumnRenamed("extra", "formatted")
     formatted = chat.format_conversations(df)
     got = {r.conv_id: r for r in chat.digests(formatted).collect()}
     for conv in {r[0] for r in rows}:

@@ -10,8 +10,9 @@ The own template ``render`` marks turns by control strings and escapes these ins
 ``parse`` reads the turns back.
 
 Defined results: a null role or text counts as empty; turns of a conversation are ordered by turn, role and text, null
-turns first, and repeated rows stay repeated turns; a null conv_id is a conversation of its own; an empty table gives
-an empty result. A conversation is one output string and so must fit a task; rendering all its prefixes takes time in
+turns first, ties thus by what they say, and repeated rows stay repeated turns; a null conv_id is a conversation of its
+own; texts of any length are rendered whole; other columns are ignored, whatever their names; an empty table gives an
+empty result. A conversation is one output string and so must fit a task; rendering all its prefixes takes time in
 proportion to its length times its turns, and memory for two of them.
 """
 
