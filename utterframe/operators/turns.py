@@ -37,7 +37,7 @@ def assign_speakers(words: DataFrame, turns: DataFrame, *, fill_nearest: bool =
     """Each word with the speaker of the turn it overlaps most (ties: the earlier turn); else, if asked for, of the
     turn whose middle is nearest; else null.
 
-    An equi-join on the video with the overlap as a residual condition; only unassigned words meet the second join.
+    An equi-join on the video with the overlap as a residual condition; only unassigned words look for the nearest turn.
     """
     plain = words.drop("speaker")
     t = turns.select(F.col("video_id").alias("__v"), F.col("start").alias("__s"), F.col("end").alias("__e"), F.col("tidx").alias("__t"), F.col("speaker").alias("__who"))
@@ -48,14 +48,31 @@ def assign_speakers(words: DataFrame, turns: DataFrame, *, fill_nearest: bool =
     out = plain.join(best, ["video_id", key], "left")
     if not fill_nearest:
         return out
-    missing = out.where("speaker is null").drop("speaker")
-    middle = F.abs((F.col("__s") + F.col("__e")) - (F.col("start") + F.col("end")))
-    near = missing.join(t, F.col("video_id") == F.col("__v")).groupBy("video_id", key).agg(
-        F.min_by("__who", F.struct(middle.alias("d"), F.col("__t").alias("t"))).alias("__near")
-    )
+    near = nearest_turns(out.where("speaker is null").select("video_id", key, (F.col("start") + F.col("end")).alias("m")), turns, key)
     return out.join(near, ["video_id", key], "left").withColumn("speaker", F.coalesce("speaker", "__near")).drop("__near")
 
 
+def nearest_turns(words: DataFrame, turns: DataFrame, key: str) -> DataFrame:
+    """video_id, key, __near: the speaker of the turn whose middle is nearest to m (twice the word's middle), ties to the
+    earlier turn.
+
+    Words and turns of a video stand in one order by their middles; the nearest turn is the last before or the first after.
+    """
+    middles = turns.groupBy("video_id", (F.col("start") + F.col("end")).alias("m")).agg(
+        F.struct(F.min("tidx").alias("t"), F.min_by("speaker", "tidx").alias("who"), F.first(F.col("start") + F.col("end")).alias("m")).alias("turn")
+    )
+    marked = middles.select("video_id", F.lit(None).cast(words.schema[key].dataType).alias(key), "m", "turn", F.lit(0).alias("kind"))
+    listed = words.select("video_id", key, "m", F.lit(None).cast(marked.schema["turn"].dataType).alias("turn"), F.lit(1).alias("kind"))
+    along = Window.partitionBy("video_id").orderBy("m", "kind")
+    back = Window.partitionBy("video_id").orderBy(F.desc("m"), "kind")
+    upto = [Window.unboundedPreceding, Window.currentRow]
+    both = marked.unionByName(listed).withColumns({
+        "before": F.last("turn", True).over(along.rowsBetween(*upto)), "after": F.last("turn", True).over(back.rowsBetween(*upto)),
+    }).where("kind = 1")
+    rank = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.m") - F.col("m")).alias("d"), F.col(f"{c}.t").alias("t"), F.col(f"{c}.who").alias("who")))
+    return both.select("video_id", key, F.least(rank("before"), rank("after"))["who"].alias("__near"))
+
+
 def flag_overlap(words: DataFrame, regions: DataFrame, key: str = "widx") -> DataFrame:
     """Each word with overlap: whether it shares time with a cross-talk region."""
     r = regions.select(F.col("video_id").alias("__v"), F.col("start").alias("__s"), F.col("end").alias("__e"))

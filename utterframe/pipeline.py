@@ -1,8 +1,9 @@
 """The whole run: sources to packaged segments, one table after the other; models and tools are callables.
 
 Every stage's result is a version in the job store or a table in the work folder, so that a run that stopped goes on
-from what is there. A video is DONE when all its chunks are and its segments are judged; until then every run drives it
-again and hears only the chunks that aren't DONE: the words of the others come from the store.
+from what is there (``resume`` first sets what was RUNNING to PENDING). A video is DONE when all its chunks are and its
+segments are judged; until then every run drives it again and hears only the chunks that aren't DONE: the words of the
+others come from the store.
 
 The work and output folders and the job store are paths that the driver and all executors share; media files, clips and
 documents are written there by tools and tasks.
@@ -141,7 +142,7 @@ def run(spark: SparkSession, cfg: Config, models: Models) -> dict[str, int]:
         found = media.discover_sources(urls, channels, models.listing, max_concurrency=d.max_concurrency, delay_s=d.request_delay_s)
     found = keep(found, "sources")
     store.add("videos", found.where("error is null").select("video_id", "channel", "url", "source_rank"), "source_rank")
-    waiting = store.read("videos").where("status in ('PENDING', 'RUNNING')")
+    waiting = jobstore.by_status(store.read("videos"), "PENDING")
     videos = keep(waiting.select("video_id", "channel", "url"), "videos")
     store.update("videos", videos.select("video_id", F.lit("RUNNING").alias("status")))
     if cfg.sources.local_dir:

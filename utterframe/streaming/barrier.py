@@ -34,18 +34,22 @@ def run_incrementally(
 ) -> StreamingQuery:
     """Reads chunk files as they come; each batch segments the videos it completes and appends them to ``output``.
 
-    Waiting chunks are a table in ``state``; a batch writes a folder named by its number, so that a repeated batch
-    replaces what it wrote before.
+    Chunks that wait for others are a table in ``state``, one folder a batch: a batch reads what waited after the batch
+    before it, never what was delivered, and drops older folders. All folders are named by the batch's number, so that a
+    repeated batch replaces what it wrote before. Chunks that come again after their video was delivered wait in vain.
     """
     stream = spark.readStream.schema(CHUNKS).option("maxFilesPerTrigger", files_per_batch).json(source)
 
     def each(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{state}/chunks/batch={number}")
-        known = session.read.parquet(f"{state}/chunks").where(F.col("batch") <= number)
-        touched = batch.select("video_id").distinct()
-        ready = ready_videos(known.join(touched, "video_id", "left_semi"))
-        complete = known.join(ready, "video_id", "left_semi").select(batch.columns)
-        segment(exploded(complete)).write.mode("overwrite").parquet(f"{output}/batch={number}")
+        folder = lambda n: f"{state}/waiting/batch={n}"
+        known = batch
+        if number > 0:
+            known = known.unionByName(session.read.schema(batch.schema).parquet(folder(number - 1)))
+        ready = ready_videos(known)
+        segment(exploded(known.join(ready, "video_id", "left_semi"))).write.mode("overwrite").parquet(f"{output}/batch={number}")
+        known.join(ready, "video_id", "left_anti").select(batch.columns).write.mode("overwrite").parquet(folder(number))
+        old = session._jvm.org.apache.hadoop.fs.Path(folder(number - 2))
+        old.getFileSystem(session._jsc.sc().hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint-{uuid.uuid5(uuid.NAMESPACE_URL, source)}").trigger(availableNow=True).start()
