@@ -18,6 +18,7 @@ row, or rows of one label only, every score is the prior's (0, or 1 if all are t
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,9 +35,8 @@ from utterframe.llm.common import append_columns, blocks, bounded_batches, disca
 #: A word, or the marks that end a sentence.
 TOKEN = re.compile(r"[^\W\d_]+|[.!?。！？…؟।\n]+")
 END, NAN = frozenset(".!?。！？…؟।\n"), float("nan")
-#: Features that the model keeps at most, those that tell most; fewer documents than this make none, nor does a
-#: likelihood ratio statistic (twice the gain in log-likelihood over independence of the label) below this.
-MAX_FEATURES, MIN_DOCS, MIN_RATIO = 20_000, 4, 2.7
+#: Features that the model keeps at most, those that tell most; fewer documents than this make none.
+MAX_FEATURES, MIN_DOCS = 20_000, 4
 #: The bias is at most this: long documents have many sentences that tell nothing.
 MAX_BIAS = -9.0
 
@@ -245,7 +245,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, labe
     holds = F.col("toxic") + F.col("clean")
     gain = lambda n, share: F.when(n > 0, n * F.log(n / (holds * share))).otherwise(0.0)
     ratio = 2 * (gain(F.col("toxic"), toxic / (toxic + clean)) + gain(F.col("clean"), clean / (toxic + clean)))
-    telling = counts.where(ratio >= MIN_RATIO).withColumn("odds", odds)
+    # a feature must pay for a parameter by the Bayesian criterion, over the documents of the rarer label
+    telling = counts.where(ratio >= math.log(min(toxic, clean))).withColumn("odds", odds)
     top = telling.orderBy(F.desc(F.abs("odds")), "feature").limit(MAX_FEATURES).toPandas()
     kept = top["feature"].tolist()
     model = train(bags(sample, kept), kept, top["odds"].to_numpy())
