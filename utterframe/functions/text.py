@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 #: Characters that end a sentence.
 SENTENCE_END = ".!?。…؟।"
-#: White space as str.strip sees it.
+#: White space as str.strip sees it, as a pattern and as characters.
+SPACES = [chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -24,7 +25,10 @@ def normalize(text: Column) -> Column:
 
 
 def ends_sentence(text: Column, marks: Iterable[str] = SENTENCE_END) -> Column:
-    return F.coalesce(F.right(strip(text), F.lit(1)).isin(*marks), F.lit(False))
+    """Whether the last character that isn't white space is a mark; only texts that end in white space are stripped."""
+    last = F.right(text, F.lit(1))
+    last = F.when(last.isin(*SPACES), F.right(strip(text), F.lit(1))).otherwise(last)
+    return F.coalesce(last.isin(*marks), F.lit(False))
 
 
 def or_unknown(speaker: Column) -> Column:
