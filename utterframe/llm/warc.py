@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from utterframe.llm.common import bitmap_of, bounded_batches, discard, in_bitmap, materialize, scratch_path
 
 MIN_REVISIT = 1000
-#: Bytes between two records that are read rather than skipped, bytes of one read, and bytes of a task, about.
-GAP, RANGE_BYTES, PART_BYTES = 64 << 10, 4 << 20, 16 << 20
+#: Bytes between two records that are read rather than skipped, bytes of one read, and bytes of a task, about; fewer, down
+#: to the last, where the cluster would stand idle.
+GAP, RANGE_BYTES, PART_BYTES, LEAST_BYTES = 64 << 10, 4 << 20, 16 << 20, 1 << 20
 #: Tasks at most; beyond it each takes more bytes.
 MOST_PARTS = 20_000
 BITMAP_BITS = 22
@@ -242,7 +243,8 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
 def parts(df: DataFrame, size: str, whole: bool = False) -> int:
     """How many tasks share the bytes that ``size`` adds up to; no more than rows if these can't be cut."""
     n, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return max(1, min(-(-total // PART_BYTES), MOST_PARTS, *([n] if whole else [])))
+    busy = min(-(-total // LEAST_BYTES), df.sparkSession.sparkContext.defaultParallelism)
+    return max(1, min(max(-(-total // PART_BYTES), busy), MOST_PARTS, *([n] if whole else [])))
 
 
 def coalesced(rows: list[dict]) -> Iterator[tuple[str, int, int, list[dict]]]:
