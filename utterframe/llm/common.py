@@ -111,6 +111,11 @@ def labelled_texts(
     return texts.select(F.col(label).cast("string").alias("label"), F.col("__text").alias("text")).repartition(SAMPLE_TASKS)
 
 
+def is_set(label: Column) -> Column:
+    """1 for a label that isn't zero or false, as text; else 0."""
+    return F.coalesce(label.try_cast("double") != 0, label == "true").cast("int")
+
+
 def free_name(name: str, taken: Sequence[str]) -> str:
     """``name``, with underscores appended until no column bears it."""
     while name.lower() in {c.lower() for c in taken}:

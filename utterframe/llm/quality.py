@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, bounded_batches, labelled_texts
+from utterframe.llm.common import append_columns, bounded_batches, is_set, labelled_texts
 
 WORDS, SHAPES = 2048, 1024
 #: Words, shapes, pairs of shapes, repetitions of the last word and of the one before it.
@@ -87,7 +87,7 @@ def sample_features(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             x = count_features(batch.column("text").to_pylist(), tokens)
             at = [np.flatnonzero(row) for row in x]
             found = [pa.array([a.tolist() for a in at], pa.list_(pa.int32())), pa.array([row[a].tolist() for row, a in zip(x, at, strict=True)], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), *found], names=["label", "at", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *found], names=["label", "at", "value"])
 
     got = sample.mapInArrow(run, "label int, at array<int>, value array<float>").where(F.size("at") > 0).toArrow()
     x = np.zeros((len(got), DIMS), dtype=np.float32)
@@ -150,4 +150,5 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, labe
     """Learns from the whole texts of at most ``per_class`` documents of each label."""
     bounded_batches(docs.sparkSession)
     learn = F.lit(True) if learn is None else learn
-    return train(*sample_features(labelled_texts(docs, labels, label, learn=learn, per_class=per_class, max_rows=2 * per_class)))
+    sample = labelled_texts(docs, labels, label, learn=learn, per_class=per_class, max_rows=2 * per_class)
+    return train(*sample_features(sample.select(is_set(F.col("label")).alias("label"), "text")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterframe.llm.common import append_columns, blocks, bounded_batches, discard, labelled_texts, materialize
+from utterframe.llm.common import append_columns, blocks, bounded_batches, discard, is_set, labelled_texts, materialize
 
 #: A word, or the marks that end a sentence.
 TOKEN = re.compile(r"[^\W\d_]+|[.!?。！？…؟।\n]+")
@@ -234,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, labe
     bounded_batches(docs.sparkSession)
     learn = F.lit(True) if learn is None else learn
     sample = labelled_texts(docs, labels, label, learn=learn, per_class=per_class, max_rows=2 * per_class)
-    sample = materialize(sample.select((F.col("label") != "0").cast("int").alias("label"), "text"), "toxicity-sample")
+    sample = materialize(sample.select(is_set(F.col("label")).alias("label"), "text"), "toxicity-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two labels
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
