@@ -57,7 +57,7 @@ def quality_filter(spark: SparkSession, sf: str) -> DataFrame:
     m AS (SELECT vec_id, s, round(list_sum([CAST(round(x * 1000) AS BIGINT) FOR x IN embedding[s + 1 : s + 16]]) / 16.0, 6) AS m FROM w)
     SELECT vec_id, count(*) AS n_windows, CAST(sum(CAST(round(m * 16) AS BIGINT)) AS BIGINT) AS total FROM m GROUP BY vec_id""")
 def window_mean(spark: SparkSession, sf: str) -> DataFrame:
-    whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("float"))
+    whole = F.transform("embedding", lambda x: F.round(x * F.lit(1000).cast("float")))  # in single precision, as SQL multiplies a FLOAT
     clips = fx.table(spark, sf, "embeddings").select("vec_id", whole.alias("samples"))
     scored = quality.window_mean(clips, "samples", 16, 8)
     n = F.floor(F.greatest(F.lit(0), F.size("samples") - 16) / 8) + 1
