@@ -1,7 +1,10 @@
 """Queries on rows that only larger tables hold, and what their plans shuffle."""
 
+import os
+
 import duckdb
 import numpy as np
+import pytest
 
 from utterframe.plans import catalog
 
@@ -18,3 +21,17 @@ def test_window_mean_multiplies_in_single_precision(spark, tmp_path):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
     want = sorted(con.execute(catalog.ORACLE_SQL["window_mean"]).fetchall())
     assert sorted(tuple(r) for r in catalog.QUERIES["window_mean"](spark, str(tmp_path)).collect()) == want
+
+
+SF = "/root/testdata/sf0.001"
+#: Exchanges of a query's plan: the documents' one, before they become words, and those of what is far smaller.
+EXCHANGES = {
+    "rechunk": 1,
+}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", EXCHANGES)
+def test_words_are_not_shuffled(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= EXCHANGES[name], plan

@@ -118,7 +118,8 @@ def segment_videos(heard: DataFrame, spoken: DataFrame | None, cfg: Config) -> D
     stream = rechunk.merge_superchunks(shifted.join(ready, "video_id", "left_semi"))
     c = cfg.rechunk
     cut = rechunk.rechunk(
-        stream, gap=c.silence_fallback_ms / 1000, longest=c.max_segment_s, shortest=c.min_segment_s, split_on_speaker=c.split_on_speaker_change
+        stream, gap=c.silence_fallback_ms / 1000, longest=c.max_segment_s, shortest=c.min_segment_s, split_on_speaker=c.split_on_speaker_change,
+        in_place=True,
     )
     language = first_seen_mode(heard.where("error is null"), ["video_id"], "language", "chunk_idx", "language")
     return cut.join(language, "video_id", "left")
