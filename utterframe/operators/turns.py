@@ -33,36 +33,51 @@ def overlap_regions(turns: DataFrame) -> DataFrame:
     return named.groupBy("video_id", "__g").agg(F.min("at").alias("start"), F.max("until").alias("end")).drop("__g")
 
 
+def _with_spans(words: DataFrame, spans: DataFrame, columns: list[str], alias: str) -> DataFrame:
+    """Words with an array of all spans of their video, null for none, by start.
+
+    Spans are far fewer than words: a task holds those of its videos, and words pass by unsorted. Words that lie by video
+    already aren't shuffled.
+    """
+    listed = spans.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(alias))
+    return words.join(listed.hint("shuffle_hash"), "video_id", "left")
+
+
 def assign_speakers(words: DataFrame, turns: DataFrame, *, fill_nearest: bool = False, key: str = "widx") -> DataFrame:
     """Each word with the speaker of the turn it overlaps most (ties: the earlier turn); else, if asked for, of the
     turn whose middle is nearest; else null.
 
-    An equi-join on the video with the overlap as a residual condition; only unassigned words look for the nearest turn.
+    Turns come to the words, not words to the turns; only unassigned words of videos with turns look for the nearest.
     """
-    plain = words.drop("speaker")
-    t = turns.select(F.col("video_id").alias("__v"), F.col("start").alias("__s"), F.col("end").alias("__e"), F.col("tidx").alias("__t"), F.col("speaker").alias("__who"))
-    overlap = F.least("end", "__e") - F.greatest("start", "__s")
-    meets = (F.col("video_id") == F.col("__v")) & intersects(F.col("start"), F.col("end"), F.col("__s"), F.col("__e"))
-    rank = F.when(F.col("__t").isNotNull() & (overlap > 0), F.struct(overlap.alias("o"), (-F.col("__t")).alias("t")))
-    best = plain.join(t, meets, "inner").groupBy("video_id", key).agg(F.max_by("__who", rank).alias("speaker"))
-    out = plain.join(best, ["video_id", key], "left")
+    def best(t: Column) -> Column:
+        met = F.filter(t, lambda x: intersects(F.col("start"), F.col("end"), x["start"], x["end"]))
+        shared = lambda x: F.least(F.col("end"), x["end"]) - F.greatest(F.col("start"), x["start"])
+        ranked = F.transform(met, lambda x: F.struct(shared(x).alias("o"), (-x["tidx"]).alias("t"), x["speaker"].alias("who")))
+        return F.array_max(F.filter(ranked, lambda x: x["o"] > 0))
+
+    listed = _with_spans(words.drop("speaker"), turns, ["start", "end", "tidx", "speaker"], "__turns")
+    found = listed.select(*words.drop("speaker").columns, F.when(F.col("__turns").isNotNull(), best(F.col("__turns"))).alias("__best"), F.col("__turns").isNotNull().alias("__any"))
+    named = found.withColumn("speaker", F.col("__best.who")).drop("__best")
     if not fill_nearest:
-        return out
-    near = nearest_turns(out.where("speaker is null").select("video_id", key, (F.col("start") + F.col("end")).alias("m")), turns, key)
-    return out.join(near, ["video_id", key], "left").withColumn("speaker", F.coalesce("speaker", "__near")).drop("__near")
+        return named.drop("__any")
+    lost = F.col("__any") & F.col("speaker").isNull()
+    near = nearest_turns(named.where(lost).drop("__any", "speaker"), turns)
+    return named.where(~lost).drop("__any").unionByName(near)
 
 
-def nearest_turns(words: DataFrame, turns: DataFrame, key: str) -> DataFrame:
-    """video_id, key, __near: the speaker of the turn whose middle is nearest to m (twice the word's middle), ties to the
-    earlier turn.
+def nearest_turns(words: DataFrame, turns: DataFrame) -> DataFrame:
+    """The words with the speaker of the turn whose middle is nearest to theirs, ties to the earlier turn.
 
-    Words and turns of a video stand in one order by their middles; the nearest turn is the last before or the first after.
+    Words and turns of a video stand in one order by their middles; the nearest turn is the last before or the first
+    after.
     """
-    middles = turns.groupBy("video_id", (F.col("start") + F.col("end")).alias("m")).agg(
-        F.struct(F.min("tidx").alias("t"), F.min_by("speaker", "tidx").alias("who"), F.first(F.col("start") + F.col("end")).alias("m")).alias("turn")
+    middle = F.col("start") + F.col("end")
+    middles = turns.groupBy("video_id", middle.alias("m")).agg(
+        F.struct(F.min("tidx").alias("t"), F.min_by("speaker", "tidx").alias("who"), F.first(middle).alias("m")).alias("turn")
     )
-    marked = middles.select("video_id", F.lit(None).cast(words.schema[key].dataType).alias(key), "m", "turn", F.lit(0).alias("kind"))
-    listed = words.select("video_id", key, "m", F.lit(None).cast(marked.schema["turn"].dataType).alias("turn"), F.lit(1).alias("kind"))
+    word = F.struct(*words.columns)
+    listed = words.select("video_id", middle.alias("m"), F.lit(None).cast(middles.schema["turn"].dataType).alias("turn"), word.alias("word"), F.lit(1).alias("kind"))
+    marked = middles.select("video_id", "m", "turn", F.lit(None).cast(listed.schema["word"].dataType).alias("word"), F.lit(0).alias("kind"))
     along = Window.partitionBy("video_id").orderBy("m", "kind")
     back = Window.partitionBy("video_id").orderBy(F.desc("m"), "kind")
     upto = [Window.unboundedPreceding, Window.currentRow]
@@ -70,15 +85,14 @@ def nearest_turns(words: DataFrame, turns: DataFrame, key: str) -> DataFrame:
         "before": F.last("turn", True).over(along.rowsBetween(*upto)), "after": F.last("turn", True).over(back.rowsBetween(*upto)),
     }).where("kind = 1")
     rank = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.m") - F.col("m")).alias("d"), F.col(f"{c}.t").alias("t"), F.col(f"{c}.who").alias("who")))
-    return both.select("video_id", key, F.least(rank("before"), rank("after"))["who"].alias("__near"))
+    return both.select("word.*", F.least(rank("before"), rank("after"))["who"].alias("speaker"))
 
 
 def flag_overlap(words: DataFrame, regions: DataFrame, key: str = "widx") -> DataFrame:
     """Each word with overlap: whether it shares time with a cross-talk region."""
-    r = regions.select(F.col("video_id").alias("__v"), F.col("start").alias("__s"), F.col("end").alias("__e"))
-    meets = (F.col("video_id") == F.col("__v")) & intersects(F.col("start"), F.col("end"), F.col("__s"), F.col("__e"))
-    hit = words.join(r, meets, "left_semi").select("video_id", key, F.lit(True).alias("overlap"))
-    return words.drop("overlap").join(hit, ["video_id", key], "left").withColumn("overlap", F.coalesce("overlap", F.lit(False)))
+    listed = _with_spans(words.drop("overlap"), regions, ["start", "end"], "__regions")
+    hit = F.exists("__regions", lambda x: intersects(F.col("start"), F.col("end"), x["start"], x["end"]))
+    return listed.withColumn("overlap", F.coalesce(hit, F.lit(False))).drop("__regions")
 
 
 def first_seen_mode(df: DataFrame, by: list[str], value: str, order: Column | str, alias: str) -> DataFrame:
