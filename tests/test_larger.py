@@ -29,6 +29,7 @@ EXCHANGES = {
     "rechunk": 1,
     "assign_speakers": 2,
     "assign_speakers_nearest": 6,
+    "word_overlap_flag": 4,
     "dedup_seams": 1,
     "merge_superchunks": 1,
     "pack_sentences": 1,
