@@ -27,6 +27,7 @@ SF = "/root/testdata/sf0.001"
 #: Exchanges of a query's plan: the documents' one, before they become words, and those of what is far smaller.
 EXCHANGES = {
     "rechunk": 1,
+    "drop_untimed": 1,
     "assign_speakers": 2,
     "assign_speakers_nearest": 6,
     "word_overlap_flag": 4,
