@@ -28,6 +28,7 @@ SF = "/root/testdata/sf0.001"
 EXCHANGES = {
     "rechunk": 1,
     "drop_untimed": 1,
+    "transcript": 2,
     "assign_speakers": 2,
     "assign_speakers_nearest": 6,
     "word_overlap_flag": 4,

@@ -17,10 +17,13 @@ DOCUMENT = (
 
 
 def documents(segments: DataFrame, videos: DataFrame) -> DataFrame:
-    """One nested document per segment, with its source, duration and words in clip time."""
+    """One nested document per segment, with its source, duration and words in clip time.
+
+    A task holds the sources of its videos, so that segments with their words pass unsorted.
+    """
     source = videos.select("video_id", F.col("url").alias("source_url"))
     given = {c: F.lit(None).cast(t) for c, t in (("language", "string"), ("dnsmos_ovr", "double")) if c not in segments.columns}
-    joined = segments.withColumns(given).join(source, "video_id", "left")
+    joined = segments.withColumns(given).join(source.hint("shuffle_hash"), "video_id", "left")
     return joined.select(
         segment_id(F.col("video_id"), F.col("idx")).alias("segment_id"), "video_id", "source_url", "start", "end",
         (F.col("end") - F.col("start")).alias("duration"), "text", clip_words(F.col("words"), F.col("start")).alias("words"),
