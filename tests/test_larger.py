@@ -29,6 +29,7 @@ EXCHANGES = {
     "rechunk": 1,
     "drop_untimed": 1,
     "transcript": 2,
+    "clip_words": 2,
     "assign_speakers": 2,
     "assign_speakers_nearest": 6,
     "word_overlap_flag": 4,
