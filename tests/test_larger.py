@@ -54,3 +54,22 @@ def test_words_are_not_shuffled(spark, name):
         above = [*(x for x in above if x[0] < depth), (depth, line)]
         if "Generate posexplode(split(" in line and name != "assign_speakers_nearest":  # which deals words far from any turn
             assert not any("Exchange " in x for _, x in above), plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["time_shift", "clip_words", "transcript", "segments_with_source"])
+def test_words_stay_where_what_they_meet_is_too_large_to_broadcast(spark, name):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    above: list[tuple[int, str]] = []
+    for line in plan.splitlines():
+        depth = max(line.find("+- "), line.find(":- "))
+        if depth < 0:
+            continue
+        above = [*(x for x in above if x[0] < depth), (depth, line)]
+        if "Generate posexplode(split(" in line:
+            assert not any("Exchange " in x or "SortMergeJoin" in x for _, x in above), plan

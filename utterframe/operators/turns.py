@@ -105,8 +105,12 @@ def first_seen_mode(df: DataFrame, by: list[str], value: str, order: Column | st
 
 
 def shift_to_video(words: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Chunk-local word times as video times, without speaker or overlap yet."""
-    moved = words.join(chunks.select("video_id", F.col("idx").alias("chunk_idx"), F.col("start").alias("__at")), ["video_id", "chunk_idx"])
+    """Chunk-local word times as video times, without speaker or overlap yet.
+
+    A task holds its chunks' begins, so that words pass unsorted.
+    """
+    begins = chunks.select("video_id", F.col("idx").alias("chunk_idx"), F.col("start").alias("__at"))
+    moved = words.join(begins.hint("shuffle_hash"), ["video_id", "chunk_idx"])
     return moved.withColumns({
         "start": F.col("start") + F.col("__at"), "end": F.col("end") + F.col("__at"),
         "speaker": F.lit(None).cast("string"), "overlap": F.lit(False),
