@@ -73,3 +73,10 @@ def test_words_stay_where_what_they_meet_is_too_large_to_broadcast(spark, name):
         above = [*(x for x in above if x[0] < depth), (depth, line)]
         if "Generate posexplode(split(" in line:
             assert not any("Exchange " in x or "SortMergeJoin" in x for _, x in above), plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["dedup_seams", "merge_superchunks"])
+def test_columns_that_nobody_reads_dont_pass_through_python(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SPK_" not in plan
