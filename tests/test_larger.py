@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from utterframe import fixtures as fx
 from utterframe.plans import catalog
 
 
@@ -80,3 +81,8 @@ def test_words_stay_where_what_they_meet_is_too_large_to_broadcast(spark, name):
 def test_columns_that_nobody_reads_dont_pass_through_python(spark, name):
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SPK_" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_a_part_of_words_holds_some_2_mb_of_stored_documents(spark):
+    assert fx.words(spark, "/root/testdata/sf0.1", by_video=True)._jdf.rdd().getNumPartitions() >= 7
